@@ -13,6 +13,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .text import bind, fold_accents
 
@@ -95,7 +96,7 @@ def _indel_score(left: str, right: str) -> float:
 
 
 def _indel_udf(phrases: tuple[str, ...]):
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf(ArrayType(DoubleType()))
     def score(names: pa.Array) -> pa.Array:
         known: dict[str | None, list[float] | None] = {None: None}
         scores = []

@@ -12,6 +12,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Every Unicode whitespace character, as text for trimming and as a class body for Java regexes.
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
@@ -48,7 +49,7 @@ def extract_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _fold(texts: pa.Array) -> pa.Array:
     def fold(text):
         return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn")

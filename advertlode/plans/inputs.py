@@ -131,7 +131,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One list page per order with three items: `page_no, html`."""
     n = F.col("o_orderkey") * 3
 
-    def item(i: int) -> Column:
+    def item(i: Column) -> Column:
         number = n + i
         digest = F.md5(number.cast("string").cast("binary"))
         uuid = F.upper(F.concat_ws("-", *[F.substring(digest, a, b) for a, b in
@@ -144,13 +144,14 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("?visning="), number, F.lit("#topp")),
             F.lit("")), (number % 6 + 1).cast("int")))
         data = F.when(number % 6 == 4, F.concat(F.lit(' data-id=" ID-'), number, F.lit(' "'))).otherwise(F.lit(""))
-        seen = F.col("o_orderdate") + F.make_dt_interval(F.lit(i))
+        seen = F.col("o_orderdate") + F.make_dt_interval(i)
         updated = F.when(number % 4 != 0, iso(seen + F.make_dt_interval((number % 5).cast("int"))))
         return F.concat(F.lit('<div class="result-item"'), data, F.lit('><a class="result-link" href="'), href,
                         F.lit('">Se stilling</a>'), _element("time", "published", iso(seen)),
                         _element("time", "updated", updated), F.lit("</div>"))
 
-    html = F.concat(F.lit("<html><body>"), *[item(i) for i in range(3)], F.lit("</body></html>"))
+    items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), item), "")
+    html = F.concat(F.lit("<html><body>"), items, F.lit("</body></html>"))
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_no"), F.lit(SEARCH_PAGE).alias("url"),
                                                  html.alias("html"))
 

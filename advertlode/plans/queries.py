@@ -16,7 +16,7 @@ from ..functions.urls import canonical_url, listing_key, resolve_link, site_id
 from ..operators import quality
 from ..operators.align import align_exploded, stamp_load
 from ..operators.details import code_rows, detail_fields, distinct_rows, explode_listings, exploded_rows, listing_records
-from ..operators.discovery import list_summaries, page_items, search_frontier
+from ..operators.discovery import list_summaries, non_empty_pages, page_items, search_frontier
 from ..operators.orgs import match_orgs
 from ..operators.state import (candidate_sources, candidates, decide, fingerprint, incremental_efficiency,
                                lookup_fingerprints, seen, unseen, update_fingerprints, upsert, upsert_summaries)
@@ -28,7 +28,7 @@ from ..sources.state_table import commit_state, read_state
 from ..streaming.state_stream import incremental_writer, streaming_rows, streaming_state
 from . import inputs
 from .inputs import RUN_TS, table
-from .run import RunConfig, run
+from .run import RunConfig, run, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,8 +63,7 @@ def advert_listings(spark, sf_dir):
 
 @query
 def advert_blocks(spark, sf_dir):
-    blocks = _details(spark, sf_dir).select("listing_id", F.posexplode("blocks").alias("block_no", "block"))
-    return blocks
+    return _details(spark, sf_dir).select("listing_id", F.posexplode("blocks").alias("block_no", "block"))
 
 
 @query
@@ -89,7 +88,7 @@ def page_links(spark, sf_dir):
 
 @query
 def page_scan(spark, sf_dir):
-    pages = read_pages(spark, f"{sf_dir}/pages.parquet").where("html <> ''")
+    pages = non_empty_pages(read_pages(spark, f"{sf_dir}/pages.parquet"))
     return pages.select("page_no", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
@@ -354,19 +353,14 @@ def load_stamp(spark, sf_dir):
 
 @query
 def sink_exploded_parquet(spark, sf_dir):
-    path = sinks.write_exploded_parquet(code_free(advert_rows(spark, sf_dir)), work_dir(spark, "out"), RUN_TS)
-    return spark.read.parquet(path)
-
-
-def code_free(rows: DataFrame) -> DataFrame:
-    """Rows before their load stamp."""
-    return rows.drop("scraped_at")
+    rows = advert_rows(spark, sf_dir).drop("scraped_at")
+    return spark.read.parquet(sinks.write_exploded_parquet(rows, work_dir(spark, "out"), RUN_TS))
 
 
 @query
 def sink_exploded_csv(spark, sf_dir):
-    path = sinks.write_exploded_csv(code_free(advert_rows(spark, sf_dir)), work_dir(spark, "out"), RUN_TS)
-    return sinks.read_exploded_csv(spark, path)
+    rows = advert_rows(spark, sf_dir).drop("scraped_at")
+    return sinks.read_exploded_csv(spark, sinks.write_exploded_csv(rows, work_dir(spark, "out"), RUN_TS))
 
 
 @query
@@ -426,12 +420,14 @@ def efficiency(spark, sf_dir):
 @query
 def run_summary(spark, sf_dir):
     """Two whole runs over the same pages: the second only tries the pages that were missing."""
-    root = work_dir(spark, "state")
+    root, pages = work_dir(spark, "state"), work_dir(spark, "pages")
+    listed = stage(inputs.list_pages(spark, sf_dir), pages, "list")
+    served = stage(inputs.served_pages(spark, sf_dir), pages, "detail")
     found = []
     for n, stamp in enumerate(("2024-01-16T00:00:00Z", RUN_TS), 1):
         config = RunConfig(run_ts=stamp, state_root=root, out_dir=work_dir(spark, "out"), base_url=inputs.SEARCH_PAGE,
                            list_selectors=inputs.LIST_SELECTORS)
-        result = run(spark, inputs.list_pages(spark, sf_dir), inputs.served_pages(spark, sf_dir), config)
+        result = run(spark, listed, served, config)
         found.append(result.summary.withColumn("run", F.lit(n)))
     return found[0].unionByName(found[1])
 

@@ -1,0 +1,95 @@
+import unicodedata
+
+from pyspark.sql import functions as F
+
+from advertlode.functions.orgs import normalize_org, token_set_scores
+from advertlode.functions.text import fold_accents, strip
+from advertlode.operators.orgs import match_orgs
+
+
+def test_normal_form(column):
+    cases = {"  Førsvar-etaten!!  ": "forsvar etaten", "Ærlig Ås, Öre": "aerlig as ore", "ﬁ ™ ½": "fi tm 1 2",
+             "A  B_c": "a b c", "": "", None: "", "²é": "2e"}
+    assert column(normalize_org, list(cases)) == list(cases.values())
+
+
+def test_folding_and_strip_against_python(column, texts, same):
+    inputs = texts(["a", "É", "ø", "ß", "ﬁ", "é", "한", "ः", " ", " ", "\x1f", "　", "²", "İ"], count=400)
+    plain = ["".join(c for c in unicodedata.normalize("NFKD", t) if unicodedata.category(c) != "Mn") for t in inputs]
+    same(inputs, column(fold_accents, inputs), plain)
+    same(inputs, column(strip, inputs), [t.strip() for t in inputs])
+
+
+def match(spark, employer, title=None, **options):
+    df = spark.createDataFrame([(employer, title)], "employer string, title string")
+    row = match_orgs(df, "employer", "title", **options).first()
+    return row.org_tag, row.provenance
+
+
+def test_rules(spark):
+    assert match(spark, "Politiets sikkerhetstjeneste") == ("pst", "employer_synonym")
+    assert match(spark, "Nasjonal sikkerhetsmyndighet") == ("nsm", "employer_synonym")
+    assert match(spark, "toppstyret") == ("pst", "employer_synonym")
+    assert match(spark, "Forsvaret") == ("forsvar", "employer_prefix")
+    assert match(spark, "Cyberforsvaret") == (None, "none")
+    assert [match(spark, e) for e in ("PST", "nsm", "Forsvar")] == [
+        (tag, "employer_exact") for tag in ("pst", "nsm", "forsvar")]
+    assert match(spark, "Ukjent Direktorat", "Random title") == (None, "none")
+
+
+def test_title_needs_the_sector(spark):
+    title = "Seniorrådgiver i Forsvarssektoren"
+    assert match(spark, "", title, sector_applied=True) == ("forsvar", "title_prefix_forsvar")
+    assert match(spark, "Ukjent", title, sector_applied=F.lit(True)) == ("forsvar", "title_prefix_forsvar")
+    assert match(spark, None, title) == (None, "none")
+    assert match(spark, "", None, sector_applied=True) == (None, "none")
+
+
+def test_fuzzy(spark):
+    assert match(spark, "Politiets Sikkerhetstjenst", fuzzy_threshold=0.8) == ("pst", "employer_fuzzy_pst")
+    assert match(spark, "Nasjonal sikkerhetsmyndghet", fuzzy_threshold=0.8) == ("nsm", "employer_fuzzy_nsm")
+    assert match(spark, "Forsvr", fuzzy_threshold=0.8) == ("forsvar", "employer_fuzzy_forsvar")
+    # Equal scores, here 0 for all, go to the first organisation.
+    assert match(spark, "xyz qq", fuzzy_threshold=0.0, method="jaccard") == ("pst", "employer_fuzzy_pst")
+    assert match(spark, "", fuzzy_threshold=0.0) == (None, "none")
+
+
+def plain_indel(a, b):
+    """Token-set similarity by the textbook, with a table for the common subsequence."""
+    def common(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            row = [0] + [0] * len(y) if not y else _next(row, c, y)
+        return row[-1]
+
+    def _next(row, c, y):
+        new = [0]
+        for j, d in enumerate(y):
+            new.append(row[j] + 1 if c == d else max(row[j + 1], new[j]))
+        return new
+
+    def ratio(x, y):
+        return 200.0 * common(x, y) / (len(x) + len(y))
+
+    sa, sb = set(a.split()), set(b.split())
+    if not sa or not sb:
+        return 0.0
+    both, da, db = (" ".join(sorted(s)) for s in (sa & sb, sa - sb, sb - sa))
+    if both and (not da or not db):
+        return 100.0
+    left, right = (f"{both} {d}".strip() for d in (da, db))
+    return max([ratio(left, right)] + ([ratio(both, left), ratio(both, right)] if both else []))
+
+
+def test_scores_against_brute_force(column, texts, same):
+    phrases = ["pst", "politiets sikkerhetstjeneste", "nasjonal sikkerhetsmyndighet"]
+    inputs = texts(["politiets ", "sikkerhetstjeneste ", "sikkerhet", "nasjonal", "pst", " ", "te", "x"], count=300, longest=6)
+    inputs = [" ".join(t.split()) for t in inputs]
+    found = column(lambda t: token_set_scores(t, phrases), inputs)
+    for i, phrase in enumerate(phrases):
+        same(inputs, [round(f[i], 9) for f in found], [round(plain_indel(t, phrase), 9) for t in inputs])
+    jaccard = column(lambda t: token_set_scores(t, phrases, method="jaccard"), inputs)
+    for i, phrase in enumerate(phrases):
+        b = set(phrase.split())
+        same(inputs, [round(f[i], 9) for f in jaccard],
+             [round(100.0 * len(set(t.split()) & b) / len(set(t.split()) | b), 9) if t else 0.0 for t in inputs])
