@@ -24,13 +24,10 @@ def latest_updates(updates: DataFrame) -> DataFrame:
         _last("detail_fingerprint").alias("detail_fingerprint"))
 
 
-def upsert(state: DataFrame, updates: DataFrame) -> DataFrame:
-    """New state: rows inserted, or merged so that `last_seen_at` only advances and NULL never overwrites a value.
-
-    The updates are reduced to one row per listing before the join, on both sides of the shuffle, so a hot listing
-    costs each task one row.
-    """
-    old, new = state.alias("old"), latest_updates(updates).alias("new")
+def merge(state: DataFrame, latest: DataFrame) -> DataFrame:
+    """New state from one update per listing: rows inserted, or merged so that `last_seen_at` only advances and NULL
+    never overwrites a value."""
+    old, new = state.alias("old"), latest.alias("new")
 
     def pick(name: str) -> Column:
         return F.coalesce(F.col(f"new.{name}"), F.col(f"old.{name}")).alias(name)
@@ -40,6 +37,14 @@ def upsert(state: DataFrame, updates: DataFrame) -> DataFrame:
         pick("updated_at"), pick("detail_fingerprint"))
 
 
+def upsert(state: DataFrame, updates: DataFrame) -> DataFrame:
+    """New state from any number of updates per listing.
+
+    They are reduced before the shuffle and again after it, so a hot listing costs each task one row.
+    """
+    return merge(state, latest_updates(updates))
+
+
 def summary_updates(summaries: DataFrame, seen_at: Column | str) -> DataFrame:
     """Summaries as state updates with one time of sighting; they bring no fingerprint."""
     seen = F.lit(seen_at) if isinstance(seen_at, str) else seen_at
