@@ -172,8 +172,7 @@ def code_sets(spark, sf_dir):
 
 @query
 def code_sets_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", job_codes(F.col("text")).alias("codes"))
-    return docs.select("doc_id", F.explode("codes").alias("code"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(job_codes(F.col("text"))).alias("code"))
 
 
 @query
