@@ -41,6 +41,7 @@ _ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 _SELECTOR = re.compile(r"([a-zA-Z][\w-]*)?((?:\.[\w-]+)*)")
 
 
+# The default selectors, here and below.
 @dataclass(frozen=True)
 class ListSelectors:
     """Where a list page keeps its items and, in each, the link, the dates and the id attributes."""

@@ -122,6 +122,21 @@ def test_versions(spark):
     assert drop_old_versions(spark, root, keep=1) == [0, 1] and versions(spark, root) == [2]
 
 
+def test_a_run_shuffles_the_state_once(spark):
+    from advertlode.plans.run import RunConfig, next_state
+
+    root = work_dir(spark, "state")
+    commit_state(state(spark, ("A", "t", None, None)), root)
+    known = read_state(spark, root)
+    summaries = spark.createDataFrame([("A", "u", "x", 0), ("B", "u", "y", 1)], SUMMARY)
+    fetched = spark.createDataFrame([("A", "f", 0), ("B", None, 1)], "listing_id string, detail_fingerprint string, seq long")
+    for advance, updated in (("always", "y"), ("on_success", None)):
+        after = next_state(known, summaries, fetched, RunConfig(run_ts="t2", state_root=root, advance=advance))
+        assert rows(after) == [("A", "t2", "x", "f"), ("B", "t2", updated, None)]
+        plan = after._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Join") == 1
+
+
 def test_hot_listing_is_reduced_before_the_shuffle(spark):
     """Each task sends one row per listing, so a listing with a third of all rows is no hot spot."""
     updates = spark.range(90_000).selectExpr("IF(id % 3 = 0, 'hot', concat('L', id)) AS listing_id", "'t' AS last_seen_at",
