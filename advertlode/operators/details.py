@@ -30,26 +30,32 @@ def detail_fields(pages: DataFrame, selectors: DetailSelectors = DEFAULT_DETAIL,
         "_page.apply_deadline", "_page.blocks")
 
 
-def code_rows(details: DataFrame, *, mode: str = "standard") -> DataFrame:
+def code_rows(details: DataFrame, *, mode: str = "standard", per_code: bool = False) -> DataFrame:
     """One row per page, block and job code: the columns of `details` but for `blocks`, and the struct `code`.
 
     The salary of a block goes to each of its codes. A block without one takes the page's salary text, if there is
     any, and marks its rows as shared, even when that text holds no amount either. Blocks without a code give no row.
+    With `per_code` each code has its own part of the block, which is its title, in place of the block.
     """
     columns = [c for c in details.columns if c != "blocks"]
     blocks = (details.withColumn("_common", salary_range(F.col("salary_text"), mode=mode))
-              .withColumn("_block", F.explode("blocks"))
-              .select(*columns, "_common", "_block", salary_range(F.col("_block"), mode=mode).alias("_own"),
-                      F.explode(code_titles(F.col("_block"))).alias("_pair")))
+              .withColumn("_block", F.explode("blocks")))
+    if per_code:
+        coded = (blocks.select(*columns, "_common", F.explode(code_titles(F.col("_block"))).alias("_pair"))
+                 .withColumn("_text", F.col("_pair.job_title"))
+                 .withColumn("_own", salary_range(F.col("_text"), mode=mode)))
+    else:
+        coded = (blocks.withColumn("_own", salary_range(F.col("_block"), mode=mode)).withColumn("_text", F.col("_block"))
+                 .select(*columns, "_common", "_own", "_text", F.explode(code_titles(F.col("_block"))).alias("_pair")))
     shared = (F.col("_own.salary_min").isNull() & F.col("_own.salary_max").isNull()
               & F.coalesce(F.col("salary_text") != "", F.lit(False)))
     code = F.struct(
         "_pair.job_code", "_pair.job_title",
         *[F.when(shared, F.col(f"_common.{name}")).otherwise(F.col(f"_own.{name}")).alias(name)
           for name in ("salary_min", "salary_max")],
-        strip(F.when(shared, F.col("salary_text")).otherwise(F.col("_block"))).alias("salary_text"),
+        strip(F.when(shared, F.col("salary_text")).otherwise(F.col("_text"))).alias("salary_text"),
         shared.alias("is_shared_salary"))
-    return blocks.select(*columns, code.alias("code"))
+    return coded.select(*columns, code.alias("code"))
 
 
 def listing_records(details: DataFrame, *, scraped_at: Column | str) -> DataFrame:

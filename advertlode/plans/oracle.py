@@ -262,6 +262,14 @@ DOC_NORMAL = f"trim(regexp_replace({PLAIN}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 
 ORACLE: dict[str, str] = {
     "advert_rows": ROWS,
+    "advert_rows_per_code": f"""WITH {ADVERTS}, parts AS (
+        SELECT *, n_blocks > 0 AND own <> '' AND contains(code_title, own) AS has_own,
+            NOT has_own AND pay_text IS NOT NULL AS shared FROM coded)
+    SELECT listing_id, code::VARCHAR AS job_code, code_title AS job_title, employer_normalized,
+        CASE WHEN has_own THEN lo - 1000 ELSE pay_min END AS salary_min,
+        CASE WHEN has_own THEN hi + 1000 ELSE pay_max END AS salary_max,
+        CASE WHEN shared THEN pay_text ELSE code_title END AS salary_text, shared AS is_shared_salary,
+        published_at, updated_at, apply_deadline, source_url, '{RUN_TS}' AS scraped_at FROM parts""",
     "advert_listings": LISTINGS,
     "advert_blocks": f"WITH {ADVERTS} SELECT listing_id, i::INT AS block_no, block FROM blocks",
     "advert_locations": f"""WITH {ADVERTS}, places AS (

@@ -52,6 +52,12 @@ def advert_rows(spark, sf_dir):
     return exploded_rows(code_rows(_details(spark, sf_dir)), scraped_at=RUN_TS)
 
 
+@query
+def advert_rows_per_code(spark, sf_dir):
+    """The same, with the salary of each code's own part of the text."""
+    return exploded_rows(code_rows(_details(spark, sf_dir), per_code=True), scraped_at=RUN_TS)
+
+
 def _flat_listings(listings: DataFrame) -> DataFrame:
     return listings.withColumn("locations", F.array_join("locations", "|"))
 
@@ -185,12 +191,14 @@ def code_titles_(spark, sf_dir):
 
 @query
 def accent_folding(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(fold_accents(F.col("text")).cast("binary")).alias("md5"))
+    folded = fold_accents(F.col("text")).cast("binary")
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(folded).alias("md5"))
 
 
 @query
 def org_normal(spark, sf_dir):
-    texts = inputs.employers(spark, sf_dir).select(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("employer").alias("text"))
+    texts = inputs.employers(spark, sf_dir).select(F.concat(F.lit("c"), "c_custkey").alias("id"),
+                                                   F.col("employer").alias("text"))
     docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
     return texts.unionByName(docs).select("id", normalize_org(F.col("text")).alias("normal"))
 

@@ -69,6 +69,14 @@ def test_salary_in_the_block(spark):
     assert coded(spark, page) == [("1111", "Konsulent – Lønn: kr 500 000 – 600 000", 500000, 600000, block, False)]
 
 
+def test_salary_per_code(spark):
+    page = """<div class="salary">kr 650.000</div><div class="job-codes">
+        kode 1111 – A, kr 500 000 – 600 000 kode 2222 – B, kr 700 000 kode 3333 - C</div>"""
+    rows = exploded_rows(code_rows(details(spark, page), per_code=True)).collect()
+    assert [(r.job_code, r.salary_min, r.salary_max, r.is_shared_salary) for r in rows] == [
+        ("1111", 500000, 600000, False), ("2222", 700000, 700000, False), ("3333", 650000, 650000, True)]
+
+
 def test_blocks_and_fallback(spark):
     two = '<div class="job-codes">kode 1111 - A</div><div class="job-codes">x</div><div class="job-codes">kode 1111</div>'
     assert [r[:2] for r in coded(spark, two)] == [("1111", "A"), ("1111", None)]
@@ -176,6 +184,17 @@ def test_list_page(spark):
     assert [tuple(r.seq) for r in rows] == [(2, 0), (2, 1), (2, 2), (2, 3)]
 
 
+def test_own_extractor(spark):
+    def by_regex(html):
+        return F.transform(F.regexp_extract_all(html, F.lit('href="([^"]+)"'), F.lit(1)), lambda h: F.struct(
+            h.alias("href"), F.lit("d").alias("published_at"), F.lit(None).cast("string").alias("updated_at"),
+            F.array(F.concat(F.lit("id"), h)).alias("id_candidates")))
+
+    pages = spark.createDataFrame([(1, LIST)], "page_no int, html string")
+    rows = list_summaries(page_items(pages, base_url="https://h", extractor=by_regex)).orderBy("seq").collect()
+    assert len(rows) == 5 and rows[0].listing_id == "id/detail/AAA" and rows[0].source_url == "https://h/detail/AAA"
+
+
 def test_default_list_selectors_read_no_dates(spark):
     assert {(r.published_at, r.updated_at, r.provenance) for r in summaries(spark, ListSelectors())} == {
         (None, None, "sha1_url")}
