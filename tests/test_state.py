@@ -143,3 +143,28 @@ def test_hot_listing_is_reduced_before_the_shuffle(spark):
                                              "'u' AS updated_at", "string(NULL) AS detail_fingerprint", "id AS seq")
     plan = upsert(state(spark), updates)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan and "collect_list" not in plan
+
+
+def test_hot_listing_is_split_in_lookups(spark):
+    """With thresholds scaled down to the data, the adaptive join splits the hot key, and the rows stay whole."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB"}
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        known = spark.range(2000).selectExpr("concat('L', id) AS listing_id", "'t' AS last_seen_at", "'u' AS updated_at",
+                                             "'f' AS detail_fingerprint")
+        found = spark.range(0, 90_000, 1, 8).selectExpr("IF(id % 3 = 0, 'L7', concat('L', id % 4000)) AS listing_id",
+                                                        "'s' AS source_url", "'v' AS updated_at", "id AS seq")
+        decided = decide(found, known)
+        counts = {r.reason: r["count"] for r in decided.groupBy("reason").count().collect()}
+        new = sum(1 for i in range(90_000) if i % 3 and i % 4000 >= 2000)
+        assert counts == {"updated_at_changed": 90_000 - new, "new": new}
+        decided.collect()
+        assert "skew=true" in decided._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
