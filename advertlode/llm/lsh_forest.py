@@ -33,15 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .tables import components, staged
+from .tables import components, in_map, key_map, staged
 from .words import find_words, mix, shingle_hashes, slices
 
 TREES, DEPTH, MIN_DEPTH = 16, 8, 4
 #: Classes that are sorted together; larger regions are entered at a greater depth.
 REGION = 256
-#: Bits of the map of classes that have candidates, 2 MB at any size of the input. More classes only let more sets pass.
-MAP_BITS = 1 << 24
-_BITMAP = 32768  # bits in one row of Spark's bitmap functions
 
 _FACTORS = np.random.default_rng(97).integers(1, 1 << 31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = np.random.default_rng(98).integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
@@ -98,17 +95,15 @@ def _signatures(size: int):
     return run
 
 
-def _sets(size: int, wanted: dict[int, bytes]):
-    """(node, members) of the classes whose bit is set in the map."""
+def _sets(size: int, wanted: bytes):
+    """(node, members) of the classes in the map."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(MAP_BITS // 8, np.uint8)
-        for bucket, raw in wanted.items():
-            bits[bucket * _BITMAP // 8:(bucket + 1) * _BITMAP // 8] = np.frombuffer(raw, np.uint8)
         for batch in batches:
             for _, _, data, at in slices(batch.column(0)):
                 members, starts = shingle_sets(data, at, size)
                 nodes = _digests(members, starts)
-                held = [i for i, node in enumerate(nodes) if node is not None and _hit(bits, node)]
+                keys = np.asarray([int.from_bytes(node[9:], "big") if node else 0 for node in nodes], np.int64)
+                held = np.flatnonzero(in_map(wanted, keys) & (np.diff(starts) > 0)).tolist()
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(np.diff(starts)[held]))).astype(np.int32)),
                     pa.array(np.concatenate([np.empty(0, np.int32)] + [
@@ -117,22 +112,9 @@ def _sets(size: int, wanted: dict[int, bytes]):
     return run
 
 
-def _bit(node: Column) -> Column:
-    """A class's place in the map: the low bits of its digest."""
-    return F.pmod(F.conv(F.hex(F.substring(node, 13, 4)), 16, 10).cast("long"), F.lit(MAP_BITS))
-
-
-def _hit(bits: np.ndarray, node: bytes) -> bool:
-    place = int.from_bytes(node[12:16], "big") % MAP_BITS
-    return bool(bits[place >> 3] >> (place & 7) & 1)
-
-
-def _wanted(nodes: DataFrame) -> dict[int, bytes]:
-    """The map of these classes: at most MAP_BITS / 32768 rows of 4 KB reach the driver."""
-    place = nodes.select(_bit(F.col("node")).alias("p"))
-    rows = place.groupBy(F.floor(F.col("p") / _BITMAP).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.col("p") % _BITMAP).alias("bits")).collect()
-    return {r.bucket: bytes(r.bits) for r in rows}
+def _key(node: Column) -> Column:
+    """The last seven bytes of a class's digest as a number, its key in the map."""
+    return F.conv(F.hex(F.substring(node, 10, 7)), 16, 10).cast("long")
 
 
 def _prefix(depth: int) -> Column:
@@ -197,6 +179,15 @@ def _neighbours(rows: DataFrame, belongs: DataFrame, nearest: int, farthest: int
     return _pairs(contested.withColumn("near", near).select("node", F.explode("near.node").alias("other")), "node", "other")
 
 
+def _grouped(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The staged signatures of `texts` (id, text), and `node, component` of every class."""
+    kind = texts.schema["id"].dataType.simpleString()
+    signed = staged(texts.mapInArrow(_signatures(shingle), f"id {kind}, node binary, n long, labels array<long>"), "signatures")
+    belongs = _connected(texts, signed, shingle, percent)
+    known = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
+    return signed, known.join(belongs, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = 80) -> DataFrame:
     """`<id_col>, n_shingles, component_id, kept` for every row of `docs`.
@@ -204,15 +195,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Texts are linked if 100 * intersection >= percent * union of their sets of `shingle`-word shingles (A-Z as a-z);
     `component_id` is the smallest id reachable, `kept` marks its rows. Null and empty texts have no shingles and are
     linked with nothing: they are components of their own. Rows that repeat an id are nodes of their own, so that
-    every row of the smallest id of a group is kept. A row without an id is linked as others are and takes part in no minimum: its
-    `component_id` is null if no id is reachable, and it is not kept. Other columns are not read.
+    every row of the smallest id of a group is kept. A row without an id is linked as others are and takes part in no
+    minimum: its `component_id` is null if no id is reachable, and it is not kept. Other columns are not read.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = texts.schema["id"].dataType.simpleString()
-    signed = staged(texts.mapInArrow(_signatures(shingle), f"id {kind}, node binary, n long, labels array<long>"), "signatures")
-    belongs = _connected(texts, signed, shingle, percent)
-    known = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least")) \
-        .join(belongs, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    signed, known = _grouped(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle, percent)
     least = known.groupBy("component").agg(F.min("least").alias("component_id"))
     named = known.join(least, "component").select("node", "component_id")
     both = signed.join(named, "node", "left")
@@ -221,6 +207,40 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                        F.coalesce(F.col("id") == own, F.lit(False)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near duplicates: that of the smallest id, null ids last, and of rows with that id the one
+    whose text and other columns hash least; of rows that are equal in all columns one stays. Rows without shingles all stay.
+
+    Rows are told apart by id and a hash of all columns, so that only these meet the groups in joins; the rows themselves
+    are joined once with those that stay.
+    """
+    mark = F.xxhash64(*docs.columns)
+    rows = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), mark.alias("mark")).alias("id"),
+                       F.col(text_col).alias("text"))
+    signed, known = _grouped(rows, shingle, percent)
+    least = known.groupBy("component").agg(F.min("least").alias("row")).select("row.id", "row.mark")
+    empty = signed.where("node IS NULL").select("id.id", "id.mark").distinct()
+    stay = staged(least.withColumn("all", F.lit(False)).unionByName(empty.withColumn("all", F.lit(True))), "stay") \
+        .select(F.col("id").alias("_stay"), F.col("mark").alias("_mark"), F.col("all").alias("_all"))
+    met = docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")) & (mark == F.col("_mark")))
+    once = met.where("NOT _all").dropDuplicates(["_stay", "_mark"])
+    return met.where("_all").unionByName(once).select(*docs.columns)
+
+
+def _joined(belongs: DataFrame, more: DataFrame) -> DataFrame:
+    """`belongs` after further links: only the components that these touch are connected anew."""
+    def named(side: str) -> DataFrame:
+        return belongs.select(F.col("node").alias(side), F.col("component").alias(f"{side}_in"))
+
+    between = more.join(named("a"), "a", "left").join(named("b"), "b", "left").select(
+        F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b"))
+    moved = staged(components(between), "moved").select(F.col("node").alias("was"), F.col("component").alias("becomes"))
+    nodes = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct()
+    alone = nodes.join(belongs, "node", "left_anti").select("node", F.col("node").alias("component"))
+    return belongs.unionByName(alone).join(moved, F.col("component") == F.col("was"), "left").select(
+        "node", F.coalesce("becomes", "component").alias("component"))
+
+
 def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """`node, component` of the classes that are linked with others."""
     classes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("labels").alias("labels"))
@@ -228,7 +248,7 @@ def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int)
     shared = rows.groupBy("tree", _prefix(MIN_DEPTH).alias("prefix")).count().where("count > 1")
     live = staged(rows.withColumn("prefix", _prefix(MIN_DEPTH)).join(shared, ["tree", "prefix"], "left_semi").drop("prefix"), "live")
     runs = staged(live.groupBy("tree", "label").agg(F.count("*").alias("n")), "runs")
-    wanted = _wanted(live.select("node"))
+    wanted = key_map(live.select(_key(F.col("node")).alias("key")), "key")
     sets = staged(texts.select("text").mapInArrow(_sets(shingle, wanted), "node binary, members array<int>")
                   .dropDuplicates(["node"]), "sets")
     belongs = staged(components(_confirmed(_leaders(live, runs), sets, percent)), "components")
@@ -238,7 +258,6 @@ def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int)
         more = staged(_confirmed(_neighbours(stretches, belongs, nearest, farthest), sets, percent), "links")
         if more.isEmpty():
             break
-        stars = belongs.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        belongs = staged(components(stars.unionByName(more)), "components")
+        belongs = staged(_joined(belongs, more), "components")
         nearest, farthest = farthest + 1, min(REGION, 3 * farthest)
     return belongs

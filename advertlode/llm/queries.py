@@ -5,21 +5,117 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .lsh_forest import near_duplicates
+from . import cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling
+from .stages import table, token_files, tokenizer_path
+from .tables import shared_path
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, and what is read back from them."""
+    return token_files(spark, table(spark, sf_dir, "documents"), sf_dir)
+
+
+def op2_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return path_ratios.extracted(table(spark, sf_dir, "pages"))
+
+
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files that do not know where documents begin."""
+    docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "flat-files")
+    separators.write_flat_files(docs, path, tokenizer_path())
+    return separators.counted(docs, separators.documents(spark.read.parquet(path)))
+
+
+#: Of each 97 pages by id, the second copy has a changed byte, a record cut short or no record for one each.
+_DAMAGE = 97
+_PER_FILE = 1000
+
+
+def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged records of a second copy of all pages as WARC files. The copy is damaged by a rule on page ids."""
+    pages = table(spark, sf_dir, "pages")
+    records = pages.select(F.floor(F.col("page_id") / _PER_FILE).alias("file"), F.col("page_id").alias("seq"), "page_id",
+                           merkle.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+    part = F.col("page_id") % _DAMAGE
+    half = F.floor(F.length("record") / 2).cast("int")
+    kept = F.when(part == 0, F.overlay("record", F.lit("\x00"), half, F.lit(1))).when(
+        part == 1, F.substring(F.col("record"), F.lit(1), half)).otherwise(F.col("record"))
+    primary = merkle.leaves(records)
+    # The copy's index is the first copy's: records keep their offsets, and one that is lost leaves a gap.
+    hashes = records.where(part != 2).select(F.col("file").alias("f"), F.col("seq").alias("s"), F.sha2(kept.cast("binary"), 256).alias("own"),
+                                             F.octet_length(kept).cast("long").alias("own_length"))
+    replica = primary.join(hashes, F.col("file").eqNullSafe(F.col("f")) & F.col("seq").eqNullSafe(F.col("s"))).select(
+        "file", "seq", "offset", F.col("own_length").alias("length"), F.col("own").alias("hash"))
+    return merkle.audit(primary, replica).select(F.col("seq").alias("page_id"), "file", F.col("offset").alias("record_offset"), "length", "kind")
+
+
+def op5_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold benchmark items."""
+    return string_tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
+    rows = cube.mixed(table(spark, sf_dir, "documents"))
+    return rows.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many sources carry."""
+    rows = line_spread.without_boilerplate(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), F.md5("text").alias("text_md5"))
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return order_minhash.followed(table(spark, sf_dir, "documents"))
+
+
+def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return pu_quality.quality_scores(docs, pu_quality.fit(*pu_quality.sample(docs, table(spark, sf_dir, "labels"))))
 
 
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_lsh_forest": op10_lsh_forest,
-}
+    f.__name__: f for f in (op1_rans_token_files, op2_path_ratios, op3_separator_scan, op4_merkle_audit, op5_string_tiling,
+                            op6_cube_mix, op7_line_spread, op8_order_minhash, op9_pu_quality, op10_lsh_forest)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_merkle_audit": rf"""
+        WITH records AS (
+            SELECT page_id, page_id // {_PER_FILE} AS file,
+                   'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+                   || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+                   || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+                   || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+            FROM pages),
+        placed AS (
+            SELECT *, strlen(record) AS length,
+                   coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY page_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS record_offset
+            FROM records)
+        SELECT page_id, file, record_offset::BIGINT AS record_offset, length::BIGINT AS length,
+               CASE WHEN page_id % {_DAMAGE} = 2 THEN 'missing' ELSE 'changed' END AS kind
+        FROM placed WHERE page_id % {_DAMAGE} IN (0, 1, 2)""",
+    "op7_line_spread": f"""
+        WITH lines AS (
+            SELECT row_number() OVER () AS r, doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS place
+            FROM documents),
+        bad AS (
+            SELECT trim(line, ' ') AS line FROM lines WHERE trim(line, ' ') <> '' GROUP BY 1
+            HAVING count(DISTINCT source) >= {line_spread.SITES})
+        SELECT doc_id, count(*) AS n_lines, count(bad.line) AS n_removed,
+               md5(coalesce(string_agg(lines.line, chr(10) ORDER BY place) FILTER (WHERE bad.line IS NULL), '')) AS text_md5
+        FROM lines LEFT JOIN bad ON trim(lines.line, ' ') = bad.line GROUP BY doc_id""",
+}

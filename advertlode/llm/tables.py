@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,30 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a map of keys, 2 MB at any size of the input. More keys only let more rows pass.
+MAP_BITS = 1 << 24
+_BITMAP = 32768  # bits in one row of Spark's bitmap functions
+
+
+def key_map(keys: DataFrame, column: str) -> bytes:
+    """A map with the bit `key % MAP_BITS` set for every non-null long in a column. At most MAP_BITS / 32768 rows of
+    4 KB reach the driver."""
+    place = keys.where(F.col(column).isNotNull()).select(F.pmod(column, F.lit(MAP_BITS)).alias("p"))
+    rows = place.groupBy(F.floor(F.col("p") / _BITMAP).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("p") % _BITMAP).alias("bits")).collect()
+    found = bytearray(MAP_BITS // 8)
+    for row in rows:
+        found[row.bucket * _BITMAP // 8:(row.bucket + 1) * _BITMAP // 8] = row.bits
+    return bytes(found)
+
+
+def in_map(found: bytes, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key (64 bits, signed or not) is set."""
+    place = keys.view(np.uint64) % np.uint64(MAP_BITS)
+    bits = np.frombuffer(found, np.uint8)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def components(links: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     """`node, component` of every node in `links` (a, b): the least node reachable.
 

@@ -22,9 +22,9 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: A value per byte, so that a polynomial of small numbers does not arise; A-Z may count as a-z.
-_VALUE = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWERED = _VALUE.copy()
-_LOWERED[ord("A"):ord("Z") + 1] = _VALUE[ord("a"):ord("z") + 1]
+BYTE_VALUES = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOWERED = BYTE_VALUES.copy()
+_LOWERED[ord("A"):ord("Z") + 1] = BYTE_VALUES[ord("a"):ord("z") + 1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,17 +36,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def worker_memory() -> dict:
+    """What a worker keeps from task to task. This package travels to the executors by value, its globals anew with every
+    task, so what is kept hangs on a library's module."""
+    return vars(pa).setdefault("_advertlode_memory", {})
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the base and of its inverse."""
-    if len(_powers[0]) <= n:
-        for i, base in enumerate((_BASE, _INVERSE)):
+    held = worker_memory().get("powers")
+    if held is None or len(held[0]) <= n:
+        held = []
+        for base in (_BASE, _INVERSE):
             table = np.full(max(n, SLICE_BYTES) + 1, base, np.uint64)
             table[0] = 1
-            _powers[i] = np.multiply.accumulate(table)
-    return _powers[0], _powers[1]
+            held.append(np.multiply.accumulate(table))
+        if n <= 4 * SLICE_BYTES:  # not those of a rare very long text
+            worker_memory()["powers"] = held
+    return held[0], held[1]
 
 
 @dataclass(frozen=True)
@@ -72,9 +79,9 @@ class Words:
         """A 64-bit hash of each word; with `lower`, A-Z count as a-z."""
         if not len(self.start):
             return np.empty(0, np.uint64)
-        power, inverse = _power_tables(len(self.data))
+        power, inverse = power_tables(len(self.data))
         sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((_LOWERED if lower else _VALUE)[self.data] * power[:len(self.data)], out=sums[1:])
+        np.cumsum((_LOWERED if lower else BYTE_VALUES)[self.data] * power[:len(self.data)], out=sums[1:])
         return mix((sums[self.end] - sums[self.start]) * inverse[self.start] + (self.end - self.start).astype(np.uint64))
 
 
@@ -101,9 +108,14 @@ def slices(texts: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Itera
         row = to
 
 
-def find_words(data: np.ndarray, at: np.ndarray) -> Words:
+#: Bytes between words for `find_words(..., between=MARKS)`: white space, controls and ASCII punctuation.
+MARKS = np.ones(256, bool)
+MARKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
+
+def find_words(data: np.ndarray, at: np.ndarray, *, between: np.ndarray = _SPACE) -> Words:
     """The words of texts given as bytes and offsets."""
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
