@@ -8,10 +8,14 @@ from advertlode.llm import stages
 from advertlode.llm.tables import staged
 
 STAGES = [
-    ("deduplicate", stages.one_of_each_group),
+    ("quality", stages.good_quality),
+    ("near_duplicates", stages.one_of_each_group),
+    ("decontamination", stages.clean_of_benchmark),
+    ("mix", stages.mixed_to_targets),
+    ("token_files", stages.token_files),
 ]
 
-#: The classifier and the mix are no SQL; `tests/llm` compares the stages with brute force.
+#: The classifier and the sampling are no SQL; `tests/llm` compares the stages with brute force.
 ORACLE_SQL = None
 
 
