@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from .tables import staged
 
-BLOCK = 20_000
+BLOCK = 4_000
 #: A source's target stops at so many times its size.
 MOST = 3
 WEIGHTS = (1, 2, 3)
@@ -147,7 +147,7 @@ def copies(units: DataFrame, *, seed: int = 5) -> DataFrame:
         blocks = F.ceil(F.col("n") / BLOCK)
         most = counts.agg(F.max(blocks)).first()[0]
         last = most is None or most <= 1
-        dealt = rows.join(F.broadcast(counts), rows["source"].eqNullSafe(counts["source"])).drop(counts["source"]).withColumn(
+        dealt = rows.join(counts, rows["source"].eqNullSafe(counts["source"])).drop(counts["source"]).withColumn(
             "block", F.pmod(F.xxhash64("turn", F.lit(level)), blocks)).drop("n") if not last else rows.withColumn("block", F.lit(0))
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
         flown = dealt.groupBy("source", "block").applyInPandas(_flown(last, seed + level), kinds).drop("block")
