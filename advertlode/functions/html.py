@@ -3,14 +3,19 @@
 Spark has no HTML functions and its XML ones reject ordinary pages, so one Arrow UDF per page kind reads the markup in a
 single pass and returns a struct; all that follows is native. A selector is `tag`, `.class` or `tag.class` (more classes
 may follow). The text of an element is its text nodes, each stripped, joined by one space; script and style do not
-count. Void tags are empty, and elements left open end with their parent or at the next sibling of the usual kind.
+count unless asked for, and the content of a textarea or title is text, not markup. Void tags are empty, and elements
+left open end with their parent or at the next sibling of the usual kind. An inline end tag leaves the blocks above it
+open, and no end tag reaches out of a table cell. Reading takes time linear in the page: open elements are found by name,
+never by a search through all of them, and a match keeps the places of its text, not a copy.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import unicodedata
 from bisect import bisect_left
+from collections import defaultdict
 from dataclasses import dataclass, fields
 from itertools import accumulate
 
@@ -29,6 +34,10 @@ _ENDS = {**{block: frozenset({"p"}) for block in _BLOCKS},
          "option": frozenset({"option"}), "tr": frozenset({"tr"}),
          "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"})}
 _SCOPES = frozenset("html body table td th ul ol dl select button object article section div nav".split())
+_END_SCOPES = frozenset("table caption td th object".split())
+_TABLE = frozenset("html body table caption colgroup tbody thead tfoot tr td th object".split())
+_BLOCK = frozenset(_BLOCKS) | _SCOPES | _TABLE | frozenset(_ENDS)
+_PLAIN = {"textarea": re.compile(r"</textarea[\s/>]", re.I), "title": re.compile(r"</title[\s/>]", re.I)}
 
 _TOKEN = re.compile(
     r"""(?P<text>(?:[^<]+|<(?![a-zA-Z/!?]))+)
@@ -78,12 +87,64 @@ DEFAULT_DETAIL = DetailSelectors(
 
 
 class _Hit:
-    """A matching element: its place in the document, attributes and raw text nodes."""
-
-    __slots__ = ("name", "start", "end", "attrs", "texts")
-
-    def __init__(self, name, start, attrs):
-        self.name, self.start, self.end, self.attrs, self.texts = name, start, None, attrs, []
+    """A matching element: its place in the document, its attributes and where its text nodes begin and end."""
+
+    __slots__ = ("name", "start", "end", "attrs", "first", "last")
+
+    def __init__(self, name, start, attrs, first):
+        self.name, self.start, self.end, self.attrs, self.first, self.last = name, start, None, attrs, first, None
+
+
+class _Open:
+    """The open elements of a page, found by name in constant time."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, list[_Hit]]] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.scopes: list[int] = []
+        self.end_scopes: list[int] = []
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, hits: list[_Hit]) -> None:
+        depth = len(self.stack)
+        self.stack.append((tag, hits))
+        self.at[tag].append(depth)
+        for kind, depths in ((_SCOPES, self.scopes), (_END_SCOPES, self.end_scopes), (_BLOCK, self.blocks)):
+            if tag in kind:
+                depths.append(depth)
+
+    def above(self, tags, limit: list[int]) -> int:
+        """Depth of the innermost of these tags that is not outside the innermost of `limit`, -1 if none is."""
+        depth = max((self.at[tag][-1] for tag in tags if self.at[tag]), default=-1)
+        return depth if depth >= 0 and depth >= (limit[-1] if limit else 0) else -1
+
+    def cut(self, depth: int) -> list[_Hit]:
+        """Close everything from this depth on; the matches that end with it."""
+        ended = []
+        while len(self.stack) > depth:
+            tag, hits = self.stack.pop()
+            ended += hits
+            if tag:
+                self.at[tag].pop()
+            for depths in (self.scopes, self.end_scopes, self.blocks):
+                if depths and depths[-1] == len(self.stack):
+                    depths.pop()
+        return ended
+
+    def end(self, tag: str) -> list[_Hit]:
+        """An end tag; the matches that end with it."""
+        if not self.at[tag]:
+            return []
+        depth = self.at[tag][-1]
+        if tag not in _TABLE and self.end_scopes and self.end_scopes[-1] > depth:
+            return []
+        if tag not in _BLOCK and self.blocks and self.blocks[-1] > depth:
+            # Misnested: the inline element ends, the blocks inside it stay open.
+            self.at[tag].pop()
+            hits = self.stack[depth][1]
+            self.stack[depth] = ("", [])
+            return hits
+        return self.cut(depth)
 
 
 def _rules(selectors) -> list[tuple]:
@@ -139,80 +200,85 @@ class _Scanner:
             meaning = self.known[name, source] = (tag, attrs, matched)
         return meaning
 
-    def scan(self, page: str) -> tuple[list[_Hit], list[str]]:
-        """Matching elements in document order, and the raw text nodes of the body."""
-        hits, open_hits, body, stack = [], [], [], []
-        place = head = 0
-
-        def close(depth):
-            nonlocal head
-            for tag, opened in stack[depth:]:
-                head -= tag == "head" or tag == "title"
-                for hit in opened:
-                    hit.end = place + 1
-                    open_hits.remove(hit)
-            del stack[depth:]
-
-        for token in _TOKEN.finditer(page):
+    def scan(self, page: str) -> tuple[list[_Hit], list[str], list[bool]]:
+        """Matching elements in document order, all raw text nodes, and which of these are in the body."""
+        hits: list[_Hit] = []
+        nodes: list[str] = []
+        in_body: list[bool] = []
+        tree = _Open()
+        place = at = 0
+
+        def close(ended: list[_Hit]) -> None:
+            for hit in ended:
+                hit.end, hit.last = place + 1, len(nodes)
+
+        def add(text: str) -> None:
+            nodes.append(text)
+            in_body.append(not tree.at["head"] and not tree.at["title"])
+
+        while at < len(page):
+            token = _TOKEN.match(page, at)
+            at = token.end()
             kind = token.lastindex
             if kind == _TEXT_TOKEN:
-                text = token[_TEXT_TOKEN]
-                if not head:
-                    body.append(text)
-                for hit in open_hits:
-                    hit.texts.append(text)
+                add(token[_TEXT_TOKEN])
             elif kind == _TAG_TOKEN:
                 end, name, source = token.group("end", "tag", "attrs")
-                depth = len(stack) - 1
                 if end:
-                    tag = name.lower()
-                    while depth >= 0 and stack[depth][0] != tag:
-                        depth -= 1
-                    if depth >= 0:
-                        close(depth)
+                    close(tree.end(name.lower()))
                     continue
                 tag, attrs, matched = self.start_tag(name, source)
                 if tag in _ENDS:
-                    ended = _ENDS[tag]
-                    while depth >= 0 and stack[depth][0] not in ended and stack[depth][0] not in _SCOPES:
-                        depth -= 1
-                    if depth >= 0 and stack[depth][0] in ended:
-                        close(depth)
+                    depth = tree.above(_ENDS[tag], tree.scopes)
+                    if depth >= 0:
+                        close(tree.cut(depth))
                 place += 1
-                opened = [_Hit(field, place, attrs) for field in matched]
+                opened = [_Hit(field, place, attrs, len(nodes)) for field in matched]
                 hits += opened
                 if tag in _VOID:
-                    for hit in opened:
-                        hit.end = place + 1
-                else:
-                    stack.append((tag, opened))
-                    open_hits += opened
-                    head += tag == "head" or tag == "title"
-        close(0)
-        return hits, body
+                    close(opened)
+                    continue
+                tree.push(tag, opened)
+                if tag in _PLAIN:
+                    stop = _PLAIN[tag].search(page, at)
+                    until = stop.start() if stop else len(page)
+                    if until > at:
+                        add(page[at:until])
+                    at = until
+        close(tree.cut(0))
+        return hits, nodes, in_body
+
+
+def _fold(text: str | None) -> str | None:
+    """Compatibility-decomposed, without combining marks."""
+    if text is None or text.isascii():
+        return text
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) != "Mn")
 
 
 _FIELDS = tuple(f.name for f in fields(DetailSelectors) if f.name != "job_code_blocks")
 
 
 def _read_detail(page: str, scanner: _Scanner) -> dict:
-    hits, body = scanner.scan(page)
+    hits, nodes, in_body = scanner.scan(page)
     row = dict.fromkeys(_FIELDS)
     blocks = []
     seen = set()
     for hit in hits:
         if hit.name == "job_code_blocks":
-            blocks.append(_text(hit.texts))
+            blocks.append(_text(nodes[hit.first:hit.last]))
         elif hit.name not in seen:
             seen.add(hit.name)
-            row[hit.name] = _text(hit.texts) or None
-    row["blocks"] = blocks or [_text(body)]
+            row[hit.name] = _text(nodes[hit.first:hit.last]) or None
+    row["employer_folded"] = _fold(row["employer"])
+    row["blocks"] = blocks or [_text([node for node, counts in zip(nodes, in_body) if counts])]
     return row
 
 
 def _read_items(page: str, scanner: _Scanner) -> list[dict]:
     by_name = {name: [] for name in ("item", "link", "published_at", "updated_at", "id_candidates")}
-    for hit in scanner.scan(page)[0]:
+    hits, texts, _ = scanner.scan(page)
+    for hit in hits:
         by_name[hit.name].append(hit)
     starts = {name: [hit.start for hit in hits] for name, hits in by_name.items()}
 
@@ -230,7 +296,7 @@ def _read_items(page: str, scanner: _Scanner) -> list[dict]:
                                  for name, value in node.attrs.items() if name.startswith("data-") and value]}
         for name in ("published_at", "updated_at"):
             nodes = inside(name, item)
-            row[name] = _text(nodes[0].texts, "") if nodes else None
+            row[name] = _text(texts[nodes[0].first:nodes[0].last], "") if nodes else None
         rows.append(row)
     return rows
 
@@ -240,7 +306,7 @@ def _fields_type(texts, lists) -> StructType:
                       + [StructField(name, ArrayType(StringType())) for name in lists])
 
 
-_DETAIL_TYPE = _fields_type(_FIELDS, ["blocks"])
+_DETAIL_TYPE = _fields_type([*_FIELDS, "employer_folded"], ["blocks"])
 _ITEMS_TYPE = ArrayType(_fields_type(["href", "published_at", "updated_at"], ["id_candidates"]))
 
 
@@ -271,13 +337,15 @@ def _page_udf(read, collect, selectors, returned: DataType):
         scanner = _Scanner(rules)
         return collect([None if page is None else read(page, scanner) for page in pages.to_pylist()])
 
-    # Marked so that the optimizer never evaluates it twice, as it would when a filter uses one of the fields.
-    return read_pages.asNondeterministic()
+    return read_pages
 
 
 def detail_page(html: Column, selectors: DetailSelectors = DEFAULT_DETAIL) -> Column:
-    """Struct with the first text of every field selector (NULL when blank or missing) and `blocks`, the texts of all
-    job-code blocks; without any block, the text of the whole body is the one block."""
+    """Struct with the first text of every field selector (NULL when blank or missing), the employer without accents, and
+    `blocks`, the texts of all job-code blocks; without any block, the text of the whole body is the one block.
+
+    Use it inside a generator, `inline(array(detail_page(html)))`: filters on other columns then go below it, to the scan, and
+    filters on its fields do not make Spark read the page again."""
     return _page_udf(_read_detail, _detail_array, selectors, _DETAIL_TYPE)(html)
 
 

@@ -45,9 +45,10 @@ def punctuation_to_space(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")
 
 
-def normalize_org(text: Column) -> Column:
-    """Accents folded, lower case, letters and digits only, single spaces; NULL becomes blank."""
-    lowered = F.lower(fold_accents(F.coalesce(text, F.lit(""))))
+def normalize_org(text: Column, *, folded: Column | None = None) -> Column:
+    """Accents folded, lower case, letters and digits only, single spaces; NULL becomes blank. `folded` is the text without
+    accents where that is at hand."""
+    lowered = F.lower(F.coalesce(folded, F.lit("")) if folded is not None else fold_accents(F.coalesce(text, F.lit(""))))
     plain = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), _LETTERS, lowered)
     return F.trim(punctuation_to_space(plain))
 

@@ -19,12 +19,16 @@ def split_values(text: Column) -> Column:
 
 
 def detail_fields(pages: DataFrame, selectors: DetailSelectors = DEFAULT_DETAIL, *, html: str = "html") -> DataFrame:
-    """Replace the html of each page by its fields and its job-code `blocks`, in one pass over the markup."""
-    read = pages.withColumn("_page", detail_page(F.col(html), selectors)).drop(html)
+    """Replace the html of each page by its fields and its job-code `blocks`, in one pass over the markup.
+
+    The page is read inside a generator, so that filters on the columns that pass through reach the scan.
+    """
+    others = [c for c in pages.columns if c != html]
+    read = pages.select(*others, F.explode(F.array(detail_page(F.col(html), selectors))).alias("_page"))
     return read.select(
-        *[c for c in read.columns if c != "_page"], "_page.title", "_page.job_title",
-        F.col("_page.employer").alias("employer_raw"),
-        blank_to_null(normalize_org(F.col("_page.employer"))).alias("employer_normalized"),
+        *others, "_page.title", "_page.job_title", F.col("_page.employer").alias("employer_raw"),
+        blank_to_null(normalize_org(F.col("_page.employer"), folded=F.col("_page.employer_folded"))).alias(
+            "employer_normalized"),
         split_values(F.col("_page.locations")).alias("locations"),
         "_page.employment_type", "_page.extent", "_page.salary_text", "_page.published_at", "_page.updated_at",
         "_page.apply_deadline", "_page.blocks")

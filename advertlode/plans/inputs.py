@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import ListSelectors
-from ..sources.pages import spread
 
 SITE = "https://jobs.example.com"
 SEARCH_PAGE = SITE + "/stillinger/sok?side=1"
@@ -22,7 +21,7 @@ LIST_SELECTORS = ListSelectors(published_at="time.published", updated_at="time.u
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +110,8 @@ def advert_html() -> Column:
 def adverts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One detail page per order: `listing_id, source_url, html`. `orders` may be a stream."""
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    parts = joined.select(*[F.expr(e).alias(name) for name, e in ADVERT_COLUMNS.items()])
+    # Pages are rendered after a shuffle of the narrow rows, since these tables have few splits.
+    parts = joined.select(*[F.expr(e).alias(name) for name, e in ADVERT_COLUMNS.items()]).repartition("k")
     return parts.select(F.concat(F.lit("A"), F.col("k")).alias("listing_id"), "source_url", advert_html().alias("html"))
 
 
@@ -152,8 +152,8 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), item), "")
     html = F.concat(F.lit("<html><body>"), items, F.lit("</body></html>"))
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page_no"), F.lit(SEARCH_PAGE).alias("url"),
-                                                 html.alias("html"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartition("o_orderkey")
+    return orders.select(F.col("o_orderkey").alias("page_no"), F.lit(SEARCH_PAGE).alias("url"), html.alias("html"))
 
 
 def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -393,7 +393,7 @@ ORACLE: dict[str, str] = {
     "fingerprint_update": f"""WITH {UPDATES}, a AS ({_state('true')}), b AS ({_state('first_run')})
         SELECT b.listing_id, b.last_seen_at, b.updated_at, a.detail_fingerprint FROM b JOIN a USING (listing_id)""",
     "candidates": f"WITH {DECIDED} SELECT listing_id, reason, seq FROM decided WHERE reason IS NOT NULL",
-    "candidates_full": f"WITH {DECIDED} SELECT listing_id, 'full' AS reason, seq FROM decided",
+    "candidates_full": f"WITH {UPDATES} SELECT listing_id, 'full' AS reason, seq FROM upd",
     "candidates_changed": f"""WITH {DECIDED}, hand AS (
         SELECT listing_id, min(detail_fingerprint) AS low, max(detail_fingerprint) AS high FROM decided GROUP BY listing_id),
     more AS (
@@ -412,8 +412,9 @@ ORACLE: dict[str, str] = {
             NULL::VARCHAR AS apply_deadline, o_orderpriority AS source_url, '{RUN_TS}' AS scraped_at FROM o""",
     "schema_align": f"WITH {UNLIKE} SELECT * FROM unlike",
     "load_stamp": f"WITH {UNLIKE} SELECT listing_id, coalesce(scraped_at, '{RUN_TS}') AS scraped_at FROM unlike",
-    "sink_runs": f"""WITH {UNLIKE}, stamps AS (SELECT unnest(['2024-01-01T00:00:00Z', '{RUN_TS}']) AS stamp)
-        SELECT stamp AS scraped_at, is_shared_salary, count(*) AS n FROM unlike, stamps WHERE scraped_at IS NULL GROUP BY ALL""",
+    "sink_runs": f"""WITH {UNLIKE}, stamps AS (SELECT unnest(['2024-01-01T00:00:00Z', '{RUN_TS}']) AS run),
+        formats AS (SELECT unnest(['parquet', 'csv']) AS format)
+        SELECT format, run, is_shared_salary, count(*) AS n FROM unlike, stamps, formats GROUP BY ALL""",
     "quality": f"""WITH {ADVERTS} SELECT count(*) AS total_rows, count(job_code) AS codes_present,
         count(job_code) / count(*) AS codes_pct, count(salary_min) AS salary_any_present,
         count(salary_min) / count(*) AS salary_any_pct, true AS schema_ok FROM rows""",
@@ -458,3 +459,8 @@ for _name, _same in (("sink_exploded_parquet", "advert_rows"), ("sink_exploded_c
                      ("sink_listings_csv", "advert_listings"), ("state_commit", "state_upsert"),
                      ("stream_state", "state_upsert"), ("stream_versions", "state_upsert")):
     ORACLE[_name] = ORACLE[_same]
+
+# The streams add up to one batch, in any split; of repeated pages the newest is read, whichever way they are matched.
+ORACLE["stream_after_run"] = ORACLE["state_upsert"]
+ORACLE["run_repeated_pages"] = f"""SELECT r.* EXCLUDE (run), m.match FROM ({ORACLE["run_summary"]}) r,
+    (SELECT unnest(['exact', 'canonical']) AS match) m WHERE r.run = 1"""

@@ -20,7 +20,7 @@ from ..operators.discovery import list_summaries, non_empty_pages, page_items, s
 from ..operators.orgs import match_orgs
 from ..operators.state import (candidate_sources, candidates, decide, fingerprint, incremental_efficiency,
                                lookup_fingerprints, seen, unseen, update_fingerprints, upsert, upsert_summaries)
-from ..schemas import STATE
+from ..schemas import EXPLODED, STATE
 from ..session import work_dir
 from ..sources import sinks
 from ..sources.pages import read_pages
@@ -297,7 +297,8 @@ def candidates_(spark, sf_dir):
 
 @query
 def candidates_full(spark, sf_dir):
-    return candidates(_decided(spark, sf_dir, full=True)).select("listing_id", "reason", "seq")
+    every = inputs.updates(spark, sf_dir).select("listing_id", "source_url", "updated_at", "seq")
+    return candidates(decide(every, _first_state(spark, sf_dir), full=True)).select("listing_id", "reason", "seq")
 
 
 @query
@@ -385,13 +386,17 @@ def sink_listings_csv(spark, sf_dir):
 
 @query
 def sink_runs(spark, sf_dir):
-    """Two runs in one output, the second replacing only its own earlier rows."""
+    """Two runs in one output of each format, the second repeated: it replaces only its own earlier rows."""
     out = work_dir(spark, "out")
-    rows = _unlike_rows(spark, sf_dir).where("scraped_at IS NULL").drop("scraped_at")
+    rows = _unlike_rows(spark, sf_dir)
     for stamp in ("2024-01-01T00:00:00Z", RUN_TS, RUN_TS):
         path = sinks.write_exploded_parquet(rows, out, stamp, mode="replace_runs")
-    written = spark.read.parquet(path).withColumn("scraped_at", F.col("scraped_at").cast("string"))
-    return written.groupBy("scraped_at", "is_shared_salary").agg(F.count(F.lit(1)).alias("n"))
+        lines = sinks.write_exploded_csv(rows, out, stamp, mode="replace_runs")
+    with_run = EXPLODED.simpleString()[7:-1] + ",run:string"
+    as_csv = sinks.read_exploded_csv(spark, lines, schema=", ".join(with_run.replace(":", " ").split(",")))
+    written = spark.read.schema(", ".join(with_run.replace(":", " ").split(","))).parquet(path)
+    return written.withColumn("format", F.lit("parquet")).unionByName(as_csv.withColumn("format", F.lit("csv"))).groupBy(
+        "format", "run", "is_shared_salary").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Quality and whole runs
@@ -439,6 +444,22 @@ def run_summary(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+@query
+def run_repeated_pages(spark, sf_dir):
+    """One run for each way to match, over pages of which older, different copies are there too."""
+    pages = work_dir(spark, "pages")
+    listed = stage(inputs.list_pages(spark, sf_dir), pages, "list")
+    served = stage(inputs.served_pages(spark, sf_dir), pages, "detail")
+    old = served.select("url", F.lit('<div class="job-codes">kode 7777 - Gammel</div><p>').alias("html"))
+    every = stage(served.withColumn("fetched", F.lit(2)).unionByName(old.withColumn("fetched", F.lit(1))), pages, "every")
+    found = []
+    for match in ("exact", "canonical"):
+        config = RunConfig(run_ts="2024-01-16T00:00:00Z", state_root=work_dir(spark, "state"), base_url=inputs.SEARCH_PAGE,
+                           list_selectors=inputs.LIST_SELECTORS, match=match, newest_by="fetched")
+        found.append(run(spark, listed, every, config).summary.withColumn("match", F.lit(match)))
+    return found[0].unionByName(found[1])
+
+
 # Streams
 
 @query
@@ -484,3 +505,18 @@ def stream_candidates(spark, sf_dir):
 @query
 def stream_versions(spark, sf_dir):
     return read_state(spark, f"{_landed_stream(spark, sf_dir)}/state")
+
+
+@query
+def stream_after_run(spark, sf_dir):
+    """State from a batch commit and then from two streams, each with batches of its own from 0 on."""
+    path = work_dir(spark, "stream")
+    first, later = inputs.runs(spark, sf_dir)
+    commit_state(upsert(_empty_state(spark), first), f"{path}/state")
+    second_half = (F.col("last_seen_at") >= "2024-01-23").cast("int")
+    for n in range(2):
+        later.where(second_half == n).write.parquet(f"{path}/landing-{n}")
+        landed = spark.readStream.schema(later.schema).parquet(f"{path}/landing-{n}")
+        writer = incremental_writer(landed, f"{path}/state", f"{path}/decided")
+        writer.option("checkpointLocation", f"{path}/checkpoint-{n}").trigger(availableNow=True).start().awaitTermination()
+    return read_state(spark, f"{path}/state")

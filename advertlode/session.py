@@ -34,12 +34,19 @@ def builder(app: str = "advertlode", **extra: str) -> SparkSession.Builder:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name for staged tables, under the shared folder in `spark.checkpoint.dir`.
 
-    Without that setting only a local session gets a folder of its own; on a cluster a machine-local folder would be
-    lost with the machine, so the setting is required there.
+    Without that setting only a session in one process gets a folder of its own; on a cluster, a local one included, a
+    machine-local folder would be lost with the machine, so the setting is required there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         shared = tempfile.mkdtemp(prefix="advertlode-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged tables that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.html import DEFAULT_DETAIL, DetailSelectors
 from ..operators.details import code_rows, detail_fields, exploded_rows
 from ..operators.state import candidates, decide, latest_updates, upsert
-from ..sources.state_table import commit_state, read_state, versions
+from ..sources.state_table import commit_state, committed_batch, drop_old_versions, latest_version, read_state
 
 
 def streaming_state(updates: DataFrame) -> DataFrame:
@@ -27,23 +27,32 @@ def streaming_rows(pages: DataFrame, *, selectors: DetailSelectors = DEFAULT_DET
     return exploded_rows(code_rows(detail_fields(stamped, selectors)), scraped_at=F.col("_scraped_at"))
 
 
-def incremental_writer(updates: DataFrame, state_root: str, decided_path: str) -> DataStreamWriter:
+def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *, name: str | None = None,
+                       keep: int = 10) -> DataStreamWriter:
     """A writer that for each batch of updates selects candidates against the state so far, then merges the batch.
 
-    Candidates go to `decided_path` under `batch_id=N`, state to version N. Both writes replace or skip what an earlier
-    attempt of the same batch left, so a replayed batch changes nothing; the state is written last and marks the batch
-    as done.
+    Candidates go to `decided_path` under `writer=W/batch_id=N`, the state becomes the next version whoever wrote the one before.
+    W is `name`, or else the id that Spark gives the stream and keeps in its checkpoint. A batch of W that is already
+    committed is left out, so a replay changes nothing; another stream, or a run, on the same state is another writer.
+    The batch is computed once. `keep` versions stay, for readers and for telling replays.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = versions(spark, state_root)
-        if batch_id in known:
+        writer = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not writer:
+            raise ValueError("the stream has no id here; give incremental_writer a name that is its own")
+        if committed_batch(spark, state_root, writer, batch_id) is not None:
             return
-        before = [v for v in known if v < batch_id]
-        state = read_state(spark, state_root, before[-1] if before else None)
-        chosen = candidates(decide(batch, state))
-        chosen.select("listing_id", "reason", "seq").write.mode("overwrite").parquet(
-            f"{decided_path}/batch_id={batch_id}")
-        commit_state(upsert(state, batch), state_root, batch_id)
+        batch = batch.persist()
+        try:
+            before = latest_version(spark, state_root)
+            state = read_state(spark, state_root, before)
+            chosen = candidates(decide(batch, state))
+            chosen.select("listing_id", "reason", "seq").write.mode("overwrite").parquet(
+                f"{decided_path}/writer={writer}/batch_id={batch_id}")
+            commit_state(upsert(state, batch), state_root, writer=writer, batch=batch_id, after=before)
+        finally:
+            batch.unpersist()
+        drop_old_versions(spark, state_root, keep)
 
     return updates.writeStream.foreachBatch(merge)

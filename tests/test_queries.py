@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from advertlode.plans.oracle import ORACLE
+from advertlode.plans.queries import QUERIES
 
 from .conftest import SF
 
@@ -22,14 +24,15 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
-    answer = duck.execute(entry.oracle_sql()[name])
+    answer = duck.execute(ORACLE[name])
     types = {c[0]: str(c[1]) for c in answer.description}
     assert {c: TYPES[t] for c, t in df.dtypes} == types
     order = [list(types).index(c) for c in columns]

@@ -8,7 +8,8 @@ from advertlode.operators.state import (candidate_sources, candidates, decide, f
                                         upsert_summaries)
 from advertlode.schemas import STATE
 from advertlode.session import work_dir
-from advertlode.sources.state_table import commit_state, drop_old_versions, read_state, versions
+from advertlode.sources.state_table import (ConcurrentWrite, commit_state, committed_batch, drop_old_versions,
+                                            read_state, versions)
 
 UPDATE = "listing_id string, last_seen_at string, updated_at string, detail_fingerprint string, seq long"
 SUMMARY = "listing_id string, source_url string, updated_at string, seq long"
@@ -110,7 +111,8 @@ def test_versions(spark):
     later = upsert_summaries(read_state(spark, root), spark.createDataFrame([("B", "u", "x", 0)], SUMMARY), seen_at="t2")
     assert commit_state(later, root) == 1
     # A replayed commit changes nothing, and a write that did not finish does not count.
-    assert commit_state(state(spark, ("Z", "t", None, None)), root, version=1) == 1
+    with pytest.raises(ConcurrentWrite):
+        commit_state(state(spark, ("Z", "t", None, None)), root, after=0)  # made from a version that is not the last
     state(spark, ("Y", "t", None, None)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
         f"{root}/version=000000000002")
     assert versions(spark, root) == [0, 1]
@@ -168,3 +170,28 @@ def test_hot_listing_is_split_in_lookups(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_one_version_one_writer(spark):
+    root = work_dir(spark, "state")
+    one = state(spark, ("A", "t", None, None))
+    assert commit_state(one, root, writer="w", batch=0) == 0
+    assert committed_batch(spark, root, "w", 0) == 0 and committed_batch(spark, root, "other", 0) is None
+    folder = root.removeprefix("file:")
+    with open(f"{folder}/version=000000000001.writer", "w") as file:
+        file.write("other/0")  # a writer that has begun version 1
+    with pytest.raises(ConcurrentWrite):
+        commit_state(one, root, writer="w", batch=1)
+    with open(f"{folder}/version=000000000001.writer", "w") as file:
+        file.write("w/1")  # an earlier attempt of our own
+    assert commit_state(one, root, writer="w", batch=1) == 1
+
+
+def test_versions_need_success_marks(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        with pytest.raises(RuntimeError, match="_SUCCESS"):
+            commit_state(state(spark, ("A", "t", None, None)), work_dir(spark, "state"))
+    finally:
+        hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")

@@ -1,9 +1,13 @@
+import os
+
+from pyspark.sql import functions as F
+
 from advertlode.operators.details import code_rows, detail_fields, exploded_rows
 from advertlode.operators.state import candidates, decide, upsert
 from advertlode.plans import inputs
 from advertlode.schemas import STATE
 from advertlode.session import work_dir
-from advertlode.sources.state_table import read_state, versions
+from advertlode.sources.state_table import commit_state, read_state, versions
 from advertlode.streaming.state_stream import incremental_writer, streaming_rows, streaming_state
 
 from .conftest import SF
@@ -41,19 +45,35 @@ def test_rows_equal_batch(spark):
     assert rows(spark.read.parquet(f"{path}/rows")) == rows(batch)
 
 
+def play(spark, path, source, checkpoint):
+    updates = spark.read.parquet(f"{path}/{source}")
+    stream = spark.readStream.schema(updates.schema).parquet(f"{path}/{source}")
+    finish(incremental_writer(stream, f"{path}/state", f"{path}/decided"), f"{path}/{checkpoint}")
+    return (versions(spark, f"{path}/state"), rows(read_state(spark, f"{path}/state")),
+            rows(spark.read.parquet(f"{path}/decided").select("listing_id", "reason", "seq")))
+
+
 def test_replayed_batch_changes_nothing(spark):
     path = work_dir(spark, "stream")
     updates = inputs.updates(spark, SF)
     updates.write.parquet(f"{path}/in")
-
-    def play(checkpoint):
-        stream = spark.readStream.schema(updates.schema).parquet(f"{path}/in")
-        finish(incremental_writer(stream, f"{path}/state", f"{path}/decided"), f"{path}/{checkpoint}")
-        return (versions(spark, f"{path}/state"), rows(read_state(spark, f"{path}/state")),
-                rows(spark.read.parquet(f"{path}/decided").drop("batch_id")))
-
-    first = play("checkpoint")
+    first = play(spark, path, "in", "checkpoint")
     assert first[0] == [0] and first[2] == rows(candidates(decide(updates, spark.createDataFrame([], STATE))).select(
         "listing_id", "reason", "seq"))
-    # A new checkpoint makes the stream deliver batch 0 again.
-    assert play("other-checkpoint") == first
+    # Without its commit mark the stream delivers batch 0 again, under the same id.
+    folder = f"{path}/checkpoint/commits".removeprefix("file:")
+    for name in os.listdir(folder):
+        os.remove(f"{folder}/{name}")
+    assert play(spark, path, "in", "checkpoint") == first
+
+
+def test_streams_and_batches_on_one_state_lose_nothing(spark):
+    path = work_dir(spark, "stream")
+    updates = inputs.updates(spark, SF)
+    part = (F.col("last_seen_at") >= "2024-01-11").cast("int") + (F.col("last_seen_at") >= "2024-01-21").cast("int")
+    for n in range(3):
+        updates.where(part == n).write.parquet(f"{path}/in-{n}")
+    commit_state(upsert(spark.createDataFrame([], STATE), spark.read.parquet(f"{path}/in-0")), f"{path}/state")
+    play(spark, path, "in-1", "checkpoint-1")
+    known, state, _ = play(spark, path, "in-2", "checkpoint-2")  # batch 0 again, of another stream
+    assert known == [0, 1, 2] and state == rows(upsert(spark.createDataFrame([], STATE), updates))
