@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import staged
+from .tables import fresh, staged
 
 BLOCK = 4_000
 #: A source's target stops at so many times its size.
@@ -176,8 +176,9 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source"
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: each row of `docs` as often as it appears."""
+    own_id, own_source, own_hash, often, copy = fresh(docs, "_id", "_source", "_hash", "_copies", "_copy")
     chosen = mixed(docs, id_col=id_col, source_col=source_col, text_col=text_col).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("hash").alias("_hash"), "copies")
-    met = docs.join(chosen, F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
-                    & (F.xxhash64(F.col(text_col)) == F.col("_hash")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*[met[c] for c in docs.columns])
+        F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("hash").alias(own_hash), F.col("copies").alias(often))
+    met = docs.join(chosen, F.col(id_col).eqNullSafe(F.col(own_id)) & F.col(source_col).eqNullSafe(F.col(own_source))
+                    & (F.xxhash64(F.col(text_col)) == F.col(own_hash)))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), often))).select(*docs.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .string_tiling import text_key
-from .tables import in_map, key_map, staged
+from .tables import fresh, in_map, key_map, staged
 
 #: Sites from which on a line is boilerplate; how far from it a sketch is believed, over ten times its standard error.
 SITES, MARGIN, LG_K = 10, 0.25, 12
@@ -64,22 +64,26 @@ def _in_lines(wanted: bytes):
     return run
 
 
-def without_boilerplate(docs: DataFrame, *, site_col: str = "source", text_col: str = "text", sites: int = SITES) -> DataFrame:
-    """`docs` without the lines that `sites` or more sites carry; `_lines` and `_removed` count each text's lines.
+def without_boilerplate(docs: DataFrame, *, site_col: str = "source", text_col: str = "text", sites: int = SITES,
+                        lines_col: str = "_lines", removed_col: str = "_removed") -> DataFrame:
+    """`docs` without the lines that `sites` or more sites carry; two new columns count each text's lines and those removed.
 
-    Lines are compared without the spaces at their ends; blank lines stay. Null texts stay null and have no lines, and a row without a site counts for no line
-    but loses boilerplate as others do. Only places of lines and the keys of texts are shuffled before the last join, and
-    the lines of one text share one row there.
+    Lines are compared without the spaces at their ends; blank lines stay. Null texts stay null and have no lines, and a row
+    without a site counts for no line but loses boilerplate as others do. Only places of lines and the keys of texts are
+    shuffled before the last join, and the lines of one text share one row there.
     """
+    if fresh(docs, lines_col, removed_col) != [lines_col, removed_col]:
+        raise ValueError(f"{lines_col} or {removed_col} is a column already")
+    key, cut_key, cuts = fresh(docs, "_key", "_cut_key", "_places")
     bad = staged(boilerplate(docs, site_col=site_col, text_col=text_col, sites=sites).select("line"), "boilerplate")
-    keyed = docs.withColumn("_key", text_key(text_col))
-    places = keyed.select(F.col("_key").alias("key"), F.col(text_col).alias("text")).mapInArrow(
+    keyed = docs.withColumn(key, text_key(text_col))
+    places = keyed.select(F.col(key).alias("key"), F.col(text_col).alias("text")).mapInArrow(
         _in_lines(key_map(bad, "line")), "key string, place int, line long")
-    cut = places.join(bad, "line", "left_semi").groupBy("key").agg(F.collect_set("place").alias("places"))
-    met = keyed.join(cut, F.col("_key") == F.col("key"), "left")
+    cut = places.join(bad, "line", "left_semi").groupBy(F.col("key").alias(cut_key)).agg(F.collect_set("place").alias(cuts))
+    met = keyed.join(cut, F.col(key) == F.col(cut_key), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce("places", F.array().cast("array<int>")), i))
-    new = F.when(F.col("places").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return met.withColumn("_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn(
-        "_removed", F.coalesce(F.size("places"), F.lit(0)).cast("long")).withColumn("_new", new).select(
-        *[(F.col("_new").alias(c) if c == text_col else F.col(c)) for c in docs.columns], "_lines", "_removed")
+    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.coalesce(cuts, F.array().cast("array<int>")), i))
+    new = F.when(F.col(cuts).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    return met.select(*[(new.alias(c) if c == text_col else F.col(c)) for c in docs.columns],
+                      F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(lines_col),
+                      F.coalesce(F.size(cuts), F.lit(0)).cast("long").alias(removed_col))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .tables import components, in_map, key_map, staged
+from .tables import components, fresh, in_map, key_map, staged
 from .words import find_words, mix, shingle_hashes, slices
 
 TREES, DEPTH, MIN_DEPTH = 16, 8, 4
@@ -220,11 +220,12 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     signed, known = _grouped(rows, shingle, percent)
     least = known.groupBy("component").agg(F.min("least").alias("row")).select("row.id", "row.mark")
     empty = signed.where("node IS NULL").select("id.id", "id.mark").distinct()
+    own_id, own_mark, every = fresh(docs, "_stay", "_mark", "_all")
     stay = staged(least.withColumn("all", F.lit(False)).unionByName(empty.withColumn("all", F.lit(True))), "stay") \
-        .select(F.col("id").alias("_stay"), F.col("mark").alias("_mark"), F.col("all").alias("_all"))
-    met = docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")) & (mark == F.col("_mark")))
-    once = met.where("NOT _all").dropDuplicates(["_stay", "_mark"])
-    return met.where("_all").unionByName(once).select(*docs.columns)
+        .select(F.col("id").alias(own_id), F.col("mark").alias(own_mark), F.col("all").alias(every))
+    met = docs.join(stay, F.col(id_col).eqNullSafe(F.col(own_id)) & (mark == F.col(own_mark)))
+    once = met.where(~F.col(every)).dropDuplicates([own_id, own_mark])
+    return met.where(F.col(every)).unionByName(once).select(*docs.columns)
 
 
 def _joined(belongs: DataFrame, more: DataFrame) -> DataFrame:

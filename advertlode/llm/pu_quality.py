@@ -223,24 +223,24 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return x[kind == 1], x[kind == 0]
 
 
-def scored(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """`docs` with the score of each text in `_score`. Texts without a word score 0."""
-    rows = docs.select(F.col(text_col).alias("_text"), *docs.columns)
+def scored(docs: DataFrame, model: Model, score_col: str, *, text_col: str = "text") -> DataFrame:
+    """`docs` with the score of each text in the new column `score_col`. Texts without a word score 0."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    at_text = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [np.empty(0)]
-            for _, _, data, at in slices(batch.column(0)):
+            for _, _, data, at in slices(batch.column(at_text)):
                 x, words = features(data, at)
                 parts.append(np.where(words > 0, model.scores(x), 0.0))
-            yield pa.record_batch([*batch.columns[1:], pa.array(np.concatenate(parts))], [*batch.schema.names[1:], "_score"])
+            yield pa.record_batch([*batch.columns, pa.array(np.concatenate(parts))], [*batch.schema.names, score_col])
 
-    return rows.mapInArrow(run, f"{kinds}, _score double")
+    return docs.mapInArrow(run, f"{kinds}, `{score_col}` double")
 
 
 def quality_scores(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`<id_col>, held_out, score, predicted` for each row."""
-    rows = scored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_body")), model, text_col="_body")
+    rows = scored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), model, "_score", text_col="_text")
     return rows.select(F.col("_id").alias(id_col), held_out(F.col("_id")).alias("held_out"), F.col("_score").alias("score"),
                        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -9,7 +9,7 @@ from .cube import mix
 from .lsh_forest import one_of_each
 from .pu_quality import THRESHOLD, fit, sample, scored
 from .string_tiling import decontaminated
-from .tables import shared_path
+from .tables import fresh, shared_path
 from .token_files import token_digests, write_token_files
 
 
@@ -27,7 +27,8 @@ def tokenizer_path() -> str:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the given documents and their labels."""
     model = fit(*sample(docs, table(spark, sf_dir, "labels")))
-    return scored(docs, model).where(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    score, = fresh(docs, "_score")
+    return scored(docs, model, score).where(F.col(score) >= THRESHOLD).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores before it as no column of `df` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps neither compute it again nor depend on the
     executors that did."""
