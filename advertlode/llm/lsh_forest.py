@@ -24,7 +24,7 @@ on either side alone gain a false common one with probability 200 * 200 / 2**32
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +124,12 @@ def _prefix(depth: int) -> Column:
     return F.shiftrightunsigned("label", 8 * (DEPTH - depth))
 
 
+def _regions(rows: DataFrame, *columns: str, depths: Iterable[int]) -> DataFrame:
+    """`tree, depth, prefix` of the regions of each row at `depths`, and these columns."""
+    at = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("prefix")) for d in depths]))
+    return rows.select("tree", *columns, at.alias("at")).select("tree", *columns, "at.depth", "at.prefix")
+
+
 def _pairs(rows: DataFrame, left: str, right: str) -> DataFrame:
     return rows.where(F.col(left) != F.col(right)).select(
         F.greatest(left, right).alias("a"), F.least(left, right).alias("b")).distinct()
@@ -143,29 +149,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _leaders(live: DataFrame, runs: DataFrame) -> DataFrame:
     """Candidates (a, b) of every class with the leaders of its regions at MIN_DEPTH and at DEPTH."""
     agreeing = live.join(runs, ["tree", "label"]).groupBy("node").agg(F.sum(F.log1p("n")).alias("score"))
-    scored = live.join(agreeing, "node")
-    found = None
-    for depth in (MIN_DEPTH, DEPTH):
-        keyed = scored.withColumn("prefix", _prefix(depth))
-        lead = keyed.groupBy("tree", "prefix").agg(F.max(F.struct("score", "node")).alias("top"), F.count("*").alias("n"))
-        met = keyed.join(lead.where("n > 1").select("tree", "prefix", F.col("top.node").alias("lead")), ["tree", "prefix"])
-        found = met if found is None else found.unionByName(met)
-    return _pairs(found, "node", "lead")
+    region = ["tree", "depth", "prefix"]
+    keyed = _regions(live.join(agreeing, "node"), "node", "score", depths=(MIN_DEPTH, DEPTH))
+    lead = keyed.groupBy(*region).agg(F.max(F.struct("score", "node")).alias("top"), F.count("*").alias("n"))
+    return _pairs(keyed.join(lead.where("n > 1").select(*region, F.col("top.node").alias("lead")), region), "node", "lead")
 
 
 def _stretches(live: DataFrame, runs: DataFrame) -> DataFrame:
     """`live` with the stretch each row is sorted in: the shortest prefix that at most REGION classes share."""
-    sized = runs
-    for depth in range(MIN_DEPTH, DEPTH):
-        keyed = sized.withColumn("p", _prefix(depth))
-        sized = keyed.join(keyed.groupBy("tree", "p").agg(F.sum("n").alias(f"n{depth}")), ["tree", "p"]).drop("p")
-    deals = F.ceil(F.col("n") / REGION)
-    depth = F.lit(DEPTH)
-    for d in reversed(range(MIN_DEPTH, DEPTH)):
-        depth = F.when(F.col(f"n{d}") <= REGION, d).otherwise(depth)
-    placed = sized.select("tree", "label", depth.alias("depth"), F.when(depth == DEPTH, deals).otherwise(1).alias("deals"))
+    region = ["tree", "depth", "prefix"]
+    keyed = _regions(runs, "label", "n", depths=range(MIN_DEPTH, DEPTH))
+    large = keyed.groupBy(*region).agg(F.sum("n").alias("n")).where(F.col("n") > REGION).select(*region)
+    # A region within a small one is small, so the depth is the number of large ones that a label is in.
+    deep = keyed.join(large, region, "left_semi").groupBy("tree", "label", "n").agg((F.count("*") + MIN_DEPTH).cast("int").alias("below"))
+    depth = F.coalesce("below", F.lit(MIN_DEPTH))
+    deals = F.when(depth == DEPTH, F.ceil(F.col("n") / REGION)).otherwise(1)
     dealt = F.xxhash64("node", "tree")
-    return live.join(placed, ["tree", "label"]).select(
+    placed = live.join(deep, ["tree", "label"], "left").withColumn("depth", depth).withColumn("deals", deals)
+    return placed.select(
         "tree", "label", "node", "depth", F.expr(f"shiftrightunsigned(label, cast(8 * ({DEPTH} - depth) as int))").alias("prefix"),
         F.pmod(dealt, "deals").alias("deal"), dealt.alias("turn"))
 

@@ -65,21 +65,31 @@ def in_map(found: bytes, keys: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node of `edges` (a, b: a > b) hangs on one other at most, and no node that hangs holds others: then
+    every component is one star around its least node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return nodes.where("hangs > 1 OR hangs = 1 AND holds = 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame, *, most_rounds: int = 60) -> DataFrame:
     """`node, component` of every node in `links` (a, b): the least node reachable.
 
     Alternating large and small stars: each round hangs a node's neighbours on the least of them. A node with very many
     links costs joins against one row per node, which Spark may split, and no list of neighbours is ever built. Every
-    round is a staged table, so that a lost executor repeats one round at most. Ends when a round changes nothing; the
-    number of rounds is about the logarithm of the longest chain.
+    round is a staged table, so that a lost executor repeats one round at most. Ends when only stars are left; the number of rounds
+    is about the logarithm of the longest chain.
     """
     def low(edges: DataFrame) -> DataFrame:
         return edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
 
     edges = staged(links.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
     for _ in range(most_rounds):
+        if _are_stars(edges):
+            break
         # Large star: greater neighbours go to the least one.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = both.join(low(both), "a").where(F.col("b") > F.col("a")).select(
@@ -90,10 +100,6 @@ def components(links: DataFrame, *, most_rounds: int = 60) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where(
             F.col("a") != F.col("b")).unionByName(least.select("a", F.col("m").alias("b")))
         edges = staged(small.distinct(), "stars")
-        after = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if before == after:
-            break
-        before = after
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
