@@ -25,8 +25,9 @@ def op2_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat files that do not know where documents begin."""
     docs, path = table(spark, sf_dir, "documents"), shared_path(spark, "flat-files")
-    separators.write_flat_files(docs, path, tokenizer_path())
-    return separators.counted(docs, separators.documents(spark.read.parquet(path)))
+    separators.write_flat_files(docs, path, tokenizer_path(), ordered=False)
+    files = spark.read.parquet(path)
+    return separators.named(files, separators.documents(files))
 
 
 #: Of each 97 pages by id, the second copy has a changed byte, a record cut short or no record for one each.

@@ -90,6 +90,14 @@ def test_separator_scan(spark, odd):
         assert ids(docs) == sorted((r.doc_id for r in found), key=repr)
         assert sorted(r.n_tokens for r in found if r.doc_id in (3, 4)) == [0, 0][:len(found)]
 
+        path = shared_path(spark, "unordered")
+        separators.write_flat_files(docs, path, tokenizer_path(), block=7, ordered=False)
+        files = spark.read.parquet(path)
+        as_read = separators.named(files, separators.documents(files)).collect()
+        assert sorted((repr(r.doc_id), r.n_tokens) for r in as_read) == sorted((repr(r.doc_id), r.n_tokens) for r in found)
+        assert sorted(r.ordinal for r in as_read) == list(range(len(as_read)))
+        assert [r.doc_id for r in sorted(as_read, key=lambda r: r.ordinal)] == [r.doc_id for r in sorted(found, key=lambda r: r.ordinal)]
+
 
 def test_fingerprints(odd):
     found = order_minhash.followed(odd).collect()
