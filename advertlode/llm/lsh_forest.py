@@ -11,7 +11,9 @@
 4. Neighbours in the sorted orders are the further candidates. The depth adapts to the region: a class is sorted within
    the shortest prefix that at most REGION classes share, and whole labels shared by more are dealt at random into
    stretches of that size, anew in each tree. Only neighbours that are not connected yet go on to step 5, and each round
-   takes the next neighbours, until a round connects nothing new. Neighbours whose whole labels are FAR apart are left out.
+   takes the next neighbours, until a round connects nothing new. Neighbours whose whole labels are FAR apart are left out,
+   and so are those whose parities prove them too different: a member that only one of two sets has changes one of the
+   PARITIES * 64 bits, so no more bits differ than members, and this loses no link.
 5. Candidates are confirmed on their full sets; linked classes form components.
 
 Missed links: with 16 trees, a minimum depth of 4 and similarity 0.8, two classes alone in their regions fail to meet
@@ -42,6 +44,8 @@ REGION = 256
 #: Neighbours whose labels differ in more bits, of 8 * TREES * DEPTH, are no candidates. At similarity 0.8 some 25.5 of the 128
 #: bytes differ, so 102 bits with a standard deviation of 19: over three deviations below the limit, and a class meets others.
 FAR = 165
+#: Words of 64 parity bits for each class.
+PARITIES = 8
 
 _FACTORS = np.random.default_rng(97).integers(1, 1 << 31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = np.random.default_rng(98).integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
@@ -85,16 +89,28 @@ def labels(members: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parities(members: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """PARITIES words for each set that is not empty: a bit is set if an odd number of members fall on it."""
+    full = np.flatnonzero(np.diff(starts))
+    place = members % np.uint64(64 * PARITIES)
+    bit = np.uint64(1) << (place & np.uint64(63))
+    out = np.zeros((len(full), PARITIES), np.uint64)
+    for j in range(PARITIES if len(full) else 0):
+        out[:, j] = np.bitwise_xor.reduceat(np.where(place >> np.uint64(6) == j, bit, np.uint64(0)), starts[full])
+    return out.view(np.int64)
+
+
 def _signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, to, data, at in slices(batch.column(1)):
                 members, starts = shingle_sets(data, at, size)
                 full = np.diff(starts) > 0
-                offsets = np.concatenate(([0], np.cumsum(full * TREES))).astype(np.int32)
-                trees = pa.ListArray.from_arrays(pa.array(offsets), pa.array(labels(members, starts).reshape(-1)))
+                before = np.concatenate(([0], np.cumsum(full))).astype(np.int32)
+                trees, odd = (pa.ListArray.from_arrays(pa.array(before * np.int32(values.shape[1])), pa.array(values.reshape(-1)))
+                              for values in (labels(members, starts), parities(members, starts)))
                 yield pa.record_batch([batch.column(0).slice(row, to - row), pa.array(_digests(members, starts), pa.binary()),
-                                       pa.array(np.diff(starts)), trees], ["id", "node", "n", "labels"])
+                                       pa.array(np.diff(starts)), trees, odd], ["id", "node", "n", "labels", "odd"])
     return run
 
 
@@ -171,18 +187,26 @@ def _stretches(live: DataFrame, runs: DataFrame) -> DataFrame:
         F.pmod(dealt, "deals").alias("deal"), dealt.alias("turn"))
 
 
-def _neighbours(rows: DataFrame, belongs: DataFrame, nearest: int, farthest: int) -> DataFrame:
-    """Candidates (a, b) that stand `nearest` to `farthest` places apart in a stretch and are not connected yet."""
+def _neighbours(rows: DataFrame, belongs: DataFrame, nearest: int, farthest: int, percent: int) -> DataFrame:
+    """Candidates (a, b) that stand `nearest` to `farthest` places apart in a stretch and are not connected yet.
+
+    With sizes of together S and D members in one set only, 100 * intersection >= percent * union says that
+    (100 + percent) * D <= (100 - percent) * S, and parities differ in at most D bits.
+    """
     held = rows.join(belongs, "node", "left").withColumn("component", F.coalesce("component", "node"))
     stretch = ["tree", "depth", "prefix", "deal"]
     mixed = held.groupBy(*stretch).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     order = Window.partitionBy(*stretch).orderBy("label", "turn", "node")
-    def bits(x):
-        apart = F.zip_with("labels", x["labels"], lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+
+    def bits(x, name):
+        apart = F.zip_with(name, x[name], lambda p, q: F.bit_count(p.bitwiseXOR(q)))
         return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
 
-    near = F.filter(F.array(*[F.lag(F.struct("node", "component", "labels"), k).over(order) for k in range(nearest, farthest + 1)]),
-                    lambda x: (x["component"] != F.col("component")) & (bits(x) <= FAR))
+    def may_link(x):
+        return (bits(x, "labels") <= FAR) & ((100 + percent) * bits(x, "odd") <= (100 - percent) * (F.col("n") + x["n"]))
+
+    ahead = [F.lag(F.struct("node", "component", "n", "labels", "odd"), k).over(order) for k in range(nearest, farthest + 1)]
+    near = F.filter(F.array(*ahead), lambda x: (x["component"] != F.col("component")) & may_link(x))
     contested = held.join(mixed.select(*stretch), stretch, "left_semi")
     return _pairs(contested.withColumn("near", near).select("node", F.explode("near.node").alias("other")), "node", "other")
 
@@ -190,7 +214,7 @@ def _neighbours(rows: DataFrame, belongs: DataFrame, nearest: int, farthest: int
 def _grouped(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The staged signatures of `texts` (id, text), and `node, component` of every class."""
     kind = texts.schema["id"].dataType.simpleString()
-    signed = staged(texts.mapInArrow(_signatures(shingle), f"id {kind}, node binary, n long, labels array<long>"), "signatures")
+    signed = staged(texts.mapInArrow(_signatures(shingle), f"id {kind}, node binary, n long, labels array<long>, odd array<long>"), "signatures")
     belongs = _connected(texts, signed, shingle, percent)
     known = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     return signed, known.join(belongs, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -252,7 +276,7 @@ def _joined(belongs: DataFrame, more: DataFrame) -> DataFrame:
 
 def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """`node, component` of the classes that are linked with others."""
-    classes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("labels").alias("labels"))
+    classes = signed.where("node IS NOT NULL").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "labels", "odd")])
     rows = staged(classes.select("node", F.posexplode("labels").alias("tree", "label")), "trees")
     shared = rows.groupBy("tree", _prefix(MIN_DEPTH).alias("prefix")).count().where("count > 1")
     live = staged(rows.withColumn("prefix", _prefix(MIN_DEPTH)).join(shared, ["tree", "prefix"], "left_semi").drop("prefix"), "live")
@@ -265,7 +289,7 @@ def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int)
     stretches = staged(_stretches(live, runs).join(classes, "node"), "stretches")
     nearest, farthest = 1, 4
     while nearest < REGION:
-        pairs = staged(_neighbours(stretches, belongs, nearest, farthest).join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = staged(_neighbours(stretches, belongs, nearest, farthest, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         more = staged(_confirmed(pairs, sets, percent), "links")
         if more.isEmpty():

@@ -95,6 +95,22 @@ def test_near_duplicates(spark, docs):
         assert (row.n_shingles, row.component_id, row.kept) == (sizes[row.doc_id], component[row.doc_id], component[row.doc_id] == row.doc_id)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 2 ** 64 - 1), max_size=60), min_size=2, max_size=5), st.integers(0, 60))
+def test_parities_differ_in_no_more_bits_than_members(sets, common):
+    from advertlode.llm.lsh_forest import parities
+
+    sets = [s | set(range(common)) for s in sets]
+    starts = np.cumsum([0, *map(len, sets)])
+    found = parities(np.asarray([x for s in sets for x in sorted(s)], np.uint64), starts)
+    full = [s for s in sets if s]
+    assert len(found) == len(full)
+    for s, bits in zip(full, found):
+        for t, others in zip(full, found):
+            differ = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in bits ^ others)
+            assert differ <= len(s ^ t) and (differ - len(s ^ t)) % 2 == 0
+
+
 def test_near_duplicates_of_one_large_group(spark):
     from advertlode.llm.lsh_forest import near_duplicates
 
