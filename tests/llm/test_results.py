@@ -338,6 +338,28 @@ def test_main_text_of_odd_markup_takes_linear_time(page):
     assert time.perf_counter() - start < 8
 
 
+LONG = "Et vanlig avsnitt med ord, tegn og mer, slik det står i en artikkel. " * 6
+
+
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "<div class=w><div class=story>{}</div></div>", "{}"])
+@pytest.mark.parametrize("part, texts", [
+    ("<ul>" + "<li>kort punkt</li>" * 5 + "</ul>", ["kort punkt"] * 5), ("<ul>" + "<li>kort punkt</li>" * 20 + "</ul>", ["kort punkt"] * 20),
+    ("<table>" + "<tr><td>Oslo</td><td>12</td></tr>" * 8 + "</table>", ["Oslo", "12"] * 8), ("<pre>x = f(y)</pre>", ["x = f(y)"]),
+    ("<div class=body>" + f"<p>{LONG}</p>" * 12 + "</div>", [LONG.strip()] * 12),
+    ("<ol>" + "<li>1</li>" * 9 + "</ol>", ["1"] * 9)])
+def test_main_text_keeps_short_and_ordinary_blocks_of_a_region(frame, part, texts):
+    for lead, name in ((LONG, "p"), (LONG * 60, "p class=lead"), (LONG * 3000, "p class=lead")):
+        page = "<html><body><nav><a href=/>Hjem</a></nav>" + frame.format(f"<h1>Tittel</h1><{name}>{lead}</p>{part}") + "</body></html>"
+        assert path_ratios.main_text(page).split("\n") == ["Tittel", lead.strip(), *texts]
+
+
+def test_main_text_leaves_out_lists_of_links():
+    links = "<div class=x><ul>" + "<li><a href=/x>En annen side, om noe annet</a></li>" * 20 + "</ul></div>"
+    for story in ("<div class=story>{}</div>", "<article>{}</article>"):
+        page = f"<body>{links}{story.format(f'<h1>Tittel</h1><p>{LONG}</p>')}{links}"
+        assert path_ratios.main_text(page).split("\n") == ["Tittel", LONG.strip()]
+
+
 def test_words_and_shingles(docs):
     texts = [t for t, _ in docs.values()] + ["", " ", "a", "a b", "\x85x y", "slutt"]
     found, pairs = [], []
