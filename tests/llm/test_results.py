@@ -360,6 +360,27 @@ def test_main_text_leaves_out_lists_of_links():
         assert path_ratios.main_text(page).split("\n") == ["Tittel", LONG.strip()]
 
 
+def test_main_text_reads_signs_as_whole_names():
+    parts = ["<h2 id='side-effects'>Virkninger</h2>", "<section id='social-impact'><p>Om folk.</p></section>",
+             "<div class='legal-text'><p>Om loven.</p></div>", "<div class='article-header'><h1>Tittel</h1></div>", "<p id='notice-period'>Frist.</p>",
+             "<p id=side>Ved siden.</p>", "<h3 class='related-work'>Annet arbeid</h3>"]
+    texts = ["Virkninger", "Om folk.", "Om loven.", "Tittel", "Frist.", "Ved siden.", "Annet arbeid"]
+    barred = "<div class='x sidebar'>Nei.</div><p class=ad>Nei.</p><ul class=pagination><li>Nei.</ul>"
+    around = "<div id='cookie-notice'>Nei.</div><div class='footer-top'>Nei.</div><section id=comments>Nei.</section>"
+    for frame in ("<article>{}</article>", "<div class=story>{}</div>", "<main>{}</main>"):
+        page = "<body>" + around + frame.format(barred.join(parts) + f"<p>{LONG}</p>")
+        assert path_ratios.main_text(page).split("\n") == [*texts, LONG.strip()]
+
+
+def test_main_text_of_a_story_beside_articles():
+    story = "<div class=story>" + f"<p>{LONG}</p>" * 5 + "</div>"
+    cards = "<div class=grid>" + "<article class=card><h3><a href=/x>Annen sak</a></h3><p>Les mer om det, her.</p></article>" * 9 + "</div>"
+    for page in (story + cards, cards + story, f"<body><div>{cards}</div>{story}"):
+        assert path_ratios.main_text(page).split("\n") == [LONG.strip()] * 5
+    posts = "".join(f"<article class=post><p>{text}</p></article>" for text in (LONG * 8, "Enig.", LONG))
+    assert path_ratios.main_text(posts + cards).split("\n") == [(LONG * 8).strip(), "Enig.", LONG.strip()]
+
+
 def test_words_and_shingles(docs):
     texts = [t for t, _ in docs.values()] + ["", " ", "a", "a b", "\x85x y", "slutt"]
     found, pairs = [], []
