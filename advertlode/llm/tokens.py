@@ -35,12 +35,14 @@ def _byte_symbols() -> dict[int, str]:
 
 
 class Encoder:
-    """Encodes with the library's tokenizer file at `path`, without special tokens."""
+    """Encodes with the library's tokenizer file at `path`, without special tokens. If `plain`, the name of a special token
+    within a text is text like any other, and no text has its id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = plain
         self._model = self._tokenizer.model
         self._symbols = _byte_symbols()
         self._forget()
@@ -112,9 +114,9 @@ class Encoder:
         return ids, np.diff(until[at])
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """This worker's encoder for a tokenizer file."""
     held = worker_memory().setdefault("encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    if (path, plain) not in held:
+        held[path, plain] = Encoder(path, plain)
+    return held[path, plain]

@@ -4,6 +4,7 @@ import hashlib
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from advertlode.llm import (cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling,
@@ -99,6 +100,22 @@ def test_separator_scan(spark, odd):
         assert [r.doc_id for r in sorted(as_read, key=lambda r: r.ordinal)] == [r.doc_id for r in sorted(found, key=lambda r: r.ordinal)]
 
 
+def test_separator_scan_of_texts_that_name_the_end(spark):
+    texts = ["a <|endoftext|> b", "c d e", "<|endoftext|>", None, "x<|endoftext|><|endoftext|>", "f g"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = shared_path(spark, "named-ends")
+    separators.write_flat_files(docs, path, tokenizer_path(), block=7, ordered=False)
+    files = spark.read.parquet(path)
+    found = {r.doc_id: r.n_tokens for r in separators.named(files, separators.documents(files)).collect()}
+    library = Tokenizer.from_file(tokenizer_path())
+    library.encode_special_tokens = True
+    assert found == {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)} and found[2] == 7
+    ends = separators.documents(files)
+    for wrong in (ends.where("number < 5"), ends.unionByName(ends.withColumn("number", F.col("number") + 6))):
+        with pytest.raises(Exception, match="not both listed and ended"):
+            separators.named(files, wrong).collect()
+
+
 def test_fingerprints(odd):
     found = order_minhash.followed(odd).collect()
     assert sorted((r.doc_id for r in found), key=repr) == ids(odd)
