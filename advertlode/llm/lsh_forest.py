@@ -8,17 +8,22 @@
 3. A region is a prefix that at least two classes share, at MIN_DEPTH and below. Each region has a leader, the class whose
    whole labels agree with most others, and every class is a candidate with the leaders of its regions. The number of
    candidates thus grows with the classes, never with the pairs of a group.
-4. Neighbours in the sorted orders are the further candidates. The depth adapts to the region: a class is sorted within
+4. Neighbours in the sorted orders are the next candidates. The depth adapts to the region: a class is sorted within
    the shortest prefix that at most REGION classes share, and whole labels shared by more are dealt at random into
    stretches of that size, anew in each tree. Only neighbours that are not connected yet go on to step 5, and each round
-   takes the next neighbours, until a round connects nothing new. Neighbours whose whole labels are FAR apart are left out,
-   and so are those whose parities prove them too different: a member that only one of two sets has changes one of the
+   takes the next neighbours, until a round connects nothing new. Neighbours whose
+   parities prove them too different are left out: a member that only one of two sets has changes one of the
    PARITIES * 64 bits, so no more bits differ than members, and this loses no link.
-5. Candidates are confirmed on their full sets; linked classes form components.
+5. Then the rest is complete. In regions at MIN_DEPTH of at most REGION classes all pairs that are not connected yet are
+   candidates, unless their sizes or parities prove them too different. The classes of larger regions meet by their rarest shingles: sets that
+   are similar enough share one of the first n - percent * n + 1 in any common order. A shingle's classes are dealt
+   into parts, each of which meets all of them, so that none is one task's. These pairs can grow with the square of a
+   group whose members are like each other but not linked; nothing is capped.
+6. Candidates are confirmed on their full sets; linked classes form components.
 
-Missed links: with 16 trees, a minimum depth of 4 and similarity 0.8, two classes alone in their regions fail to meet
-with probability (1 - 0.8**4)**16 = 0.0002. In large groups a class is linked to the group if any of its leaders and
-neighbours is similar enough. `tests/llm` measures the recall against brute force.
+Missed links: with 16 trees, a minimum depth of 4 and similarity 0.8, two classes fail to meet in any region
+with probability (1 - 0.8**4)**16 = 0.0002; those of two large regions meet whatever their labels.
+`tests/llm` measures the recall against brute force.
 
 Confirmation compares 32-bit hashes of shingles with exact set sizes. Two different sets of a thousand shingles with 200
 on either side alone gain a false common one with probability 200 * 200 / 2**32 = 0.00001, and that matters only exactly at the threshold.
@@ -41,9 +46,8 @@ from .words import find_words, mix, shingle_hashes, slices
 TREES, DEPTH, MIN_DEPTH = 16, 8, 4
 #: Classes that are sorted together; larger regions are entered at a greater depth.
 REGION = 256
-#: Neighbours whose labels differ in more bits, of 8 * TREES * DEPTH, are no candidates. At similarity 0.8 some 25.5 of the 128
-#: bytes differ, so 102 bits with a standard deviation of 19: over three deviations below the limit, and a class meets others.
-FAR = 165
+#: Classes of one shingle that meet the others in one part of a join.
+PART = 1024
 #: Words of 64 parity bits for each class.
 PARITIES = 8
 
@@ -198,19 +202,61 @@ def _neighbours(rows: DataFrame, belongs: DataFrame, nearest: int, farthest: int
     mixed = held.groupBy(*stretch).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     order = Window.partitionBy(*stretch).orderBy("label", "turn", "node")
 
-    def bits(x, name):
-        apart = F.zip_with(name, x[name], lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-        return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
-
     def may_link(x):
-        return (bits(x, "labels") <= FAR) & ((100 + percent) * bits(x, "odd") <= (100 - percent) * (F.col("n") + x["n"]))
+        apart = F.zip_with("odd", x["odd"], lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        bits = F.aggregate(apart, F.lit(0), lambda total, n: total + n)
+        return (100 + percent) * bits <= (100 - percent) * (F.col("n") + x["n"])
 
-    ahead = [F.lag(F.struct("node", "component", "n", "labels", "odd"), k).over(order) for k in range(nearest, farthest + 1)]
+    ahead = [F.lag(F.struct("node", "component", "n", "odd"), k).over(order) for k in range(nearest, farthest + 1)]
     near = F.filter(F.array(*ahead), lambda x: (x["component"] != F.col("component")) & may_link(x))
     contested = held.join(mixed.select(*stretch), stretch, "left_semi")
     return _pairs(contested.withColumn("near", near).select("node", F.explode("near.node").alias("other")), "node", "other")
 
 
+def _meeting(left: DataFrame, right: DataFrame, keys: list[str], percent: int, *more: Column) -> DataFrame:
+    """Candidates (a, b) of rows with the same keys that are not connected yet, unless sizes or parities rule them out."""
+    one, two = (side.select(*keys, *[F.col(c).alias(f"{c}_{name}") for c in side.columns if c not in keys])
+                for side, name in ((left, "a"), (right, "b")))
+    total = F.col("n_a") + F.col("n_b")
+    bits = sum((F.bit_count(F.col(f"odd{j}_a").bitwiseXOR(F.col(f"odd{j}_b"))) for j in range(PARITIES)), F.lit(0))
+    met = one.join(two, keys).where((F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+                                    & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                                    & ((100 + percent) * bits <= (100 - percent) * total))
+    for condition in more:
+        met = met.where(condition)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _remaining(live: DataFrame, classes: DataFrame, sets: DataFrame, belongs: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) of all classes that share a region and are not connected yet."""
+    held = classes.join(belongs, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "n", *[
+        F.col("odd")[j].alias(f"odd{j}") for j in range(PARITIES)])
+    region = ["tree", "prefix"]
+    rows = live.select("tree", _prefix(MIN_DEPTH).alias("prefix"), "node").join(held, "node")
+    open_ = staged(rows.groupBy(*region).agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+                   .where("low != high").select(*region, "size"), "open")
+    few = staged(rows.join(open_.where(F.col("size") <= REGION).drop("size"), region), "few")
+    large = rows.join(open_.where(F.col("size") > REGION).drop("size"), region, "left_semi").select("node").distinct()
+    # The rarest shingles of each class in large regions: as many as one that links it must be among.
+    own = staged(held.join(large, "node").join(sets, "node").withColumn("members", F.array_distinct("members")), "large")
+    every = own.select("node", "component", F.explode("members").alias("member"))
+    common = every.groupBy("member").agg(F.count("*").alias("often"), (F.min("component") != F.max("component")).alias("open"))
+    order = every.join(common, "member").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "member", "open"))).alias("order"))
+    size = F.size("members")
+    first = F.greatest(size - F.floor((percent * F.col("n") + 99) / 100).cast("int") + 1, F.lit(0))
+    rarest = own.join(order, "node").withColumn("first", first).select(
+        "node", "component", "n", *[f"odd{j}" for j in range(PARITIES)], size.alias("size"),
+        F.posexplode(F.slice("order", F.lit(1), F.col("first"))).alias("place", "at")).where("at.open")
+    rarest = staged(rarest.withColumn("member", F.col("at.member")).withColumn("after", F.col("size") - F.col("place")).drop("at", "size", "place"), "rarest")
+    parts = rarest.groupBy("member").agg(F.ceil(F.count("*") / PART).alias("parts"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    dealt = rarest.join(parts, "member")
+    left = dealt.withColumn("part", F.pmod(F.xxhash64("node", "member"), "parts")).drop("parts")
+    right = dealt.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    # `after` members, this one included, are left in each set: no more can be common if this is the first.
+    enough = (100 + percent) * F.least("after_a", "after_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    return _meeting(few, few, region, percent).unionByName(_meeting(left, right, ["member", "part"], percent, enough)).distinct()
+
+
 def _grouped(texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The staged signatures of `texts` (id, text), and `node, component` of every class."""
     kind = texts.schema["id"].dataType.simpleString()
@@ -276,7 +322,7 @@ def _joined(belongs: DataFrame, more: DataFrame) -> DataFrame:
 
 def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """`node, component` of the classes that are linked with others."""
-    classes = signed.where("node IS NOT NULL").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "labels", "odd")])
+    classes = staged(signed.where("node IS NOT NULL").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "labels", "odd")]), "classes")
     rows = staged(classes.select("node", F.posexplode("labels").alias("tree", "label")), "trees")
     shared = rows.groupBy("tree", _prefix(MIN_DEPTH).alias("prefix")).count().where("count > 1")
     live = staged(rows.withColumn("prefix", _prefix(MIN_DEPTH)).join(shared, ["tree", "prefix"], "left_semi").drop("prefix"), "live")
@@ -286,7 +332,7 @@ def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int)
                   .dropDuplicates(["node"]), "sets")
     tested = staged(_leaders(live, runs), "pairs")
     belongs = staged(components(_confirmed(tested, sets, percent)), "components")
-    stretches = staged(_stretches(live, runs).join(classes, "node"), "stretches")
+    stretches = staged(_stretches(live, runs).join(classes.drop("labels"), "node"), "stretches")
     nearest, farthest = 1, 4
     while nearest < REGION:
         pairs = staged(_neighbours(stretches, belongs, nearest, farthest, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -296,4 +342,6 @@ def _connected(texts: DataFrame, signed: DataFrame, shingle: int, percent: int)
             break
         belongs = staged(_joined(belongs, more), "components")
         nearest, farthest = farthest + 1, min(REGION, 3 * farthest)
-    return belongs
+    rest = staged(_remaining(live, classes, sets, belongs, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = staged(_confirmed(rest, sets, percent), "links")
+    return belongs if more.isEmpty() else staged(_joined(belongs, more), "components")

@@ -124,6 +124,25 @@ def test_near_duplicates_of_one_large_group(spark):
     assert wrong <= 4 and all(found[i] >= component[i] for i in texts)  # recall 0.99, and nothing linked wrongly
 
 
+@pytest.mark.parametrize("size", [200, 1200])
+def test_near_duplicates_within_a_family_that_is_less_alike(spark, size):
+    from advertlode.llm.lsh_forest import near_duplicates
+
+    rng = random.Random(size)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+
+    def edited(words, share):
+        return [w if rng.random() > share else f"n{rng.randrange(10 ** 6)}" for w in words]
+
+    family = [edited(base, 0.072) for _ in range(size)]  # 0.6 alike, few pairs linked
+    family += [edited(words, 0.05) for words in family[:size // 2]]  # each about 0.8 like the one it is made of
+    texts = {i: " ".join(words) for i, words in enumerate(family)}
+    component, _ = groups(texts, 2)
+    found = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert len(set(component.values())) > size // 4 and max(Counter(component.values()).values()) > 1
+    assert found == component
+
+
 def test_token_files(spark, docs):
     start = 0
     for row in sorted(collected(spark, "op1_rans_token_files"), key=lambda r: r.doc_id):
