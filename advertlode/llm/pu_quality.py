@@ -1,6 +1,6 @@
 """Quality scores by positive-unlabelled learning.
 
-Learns from trusted positives (`quality` = 1) and unlabelled text only: rows labelled 0 are never used. A first model
+Learns from trusted positives (`quality` = 1) and unlabelled text only: labels of 0 are never used. A first model
 tells positives from unlabelled texts; on held-back rows of both its scores bound the share of positives among the
 unlabelled (best bin estimate of the class prior). The final model minimises the non-negative unbiased risk
     prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])
@@ -8,6 +8,9 @@ with the logistic loss, so that its score estimates the probability of label 1.
 shares of byte classes, of kinds of words, lengths and repetition. Fitting is on the driver, on at most POSITIVES and
 UNLABELLED rows (in expectation; a hash of the id decides, at a rate that follows from the counts), with features of
 some 70 numbers. Scoring reads each text once and shuffles nothing.
+
+Where fewer than FEW drawn texts are unlabelled, labelled ones join them without their labels. Without positives nothing can be
+learned: every text with a word then scores 0.5.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from .words import find_words, shingle_hashes, slices
 
 #: Bounds on the rows that the model is fitted on.
 POSITIVES, UNLABELLED = 12_000, 24_000
+FEW = 64
 THRESHOLD = 0.3
 HIDDEN, ROUNDS, BATCH, RATE = 24, 24, 512, 0.004
 
@@ -186,6 +190,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, *, seed: int = 7) -> Model
     return Model(middle, scale, _train(p, u, risk, seed + 1), prior)
 
 
+def learned(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model that `docs` and their labels give; without positives one that gives all texts the same score."""
+    positive, unlabelled = sample(docs, labels)
+    if len(positive) and len(unlabelled):
+        return fit(positive, unlabelled)
+    weights = np.zeros((N_FEATURES, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.zeros(N_FEATURES), np.zeros(())
+    return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), tuple(w.astype(np.float32) for w in weights), 0.5)
+
+
 def held_out(id_col: Column) -> Column:
     """Rows whose labels are never learned from."""
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
@@ -202,7 +215,8 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of positives and of unlabelled documents, the same ones on every call.
 
-    Positives: ids with no label but 1, that are not held out. Unlabelled: ids without a label. The ids of the positives are at most POSITIVES, so they are broadcast.
+    Positives: ids with no label but 1, that are not held out. Unlabelled: ids without a label, and
+    if they have fewer than FEW texts also labelled ones that are not held out. The ids of the positives are at most POSITIVES, so they are broadcast.
     """
     labelled = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     good = labelled.groupBy("doc_id").agg(F.min("quality").alias("q")).where((F.col("q") == 1) & ~held_out(F.col("doc_id")))
@@ -215,12 +229,13 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = good.where(rank < rate(POSITIVES, good.count())).select("doc_id").limit(POSITIVES)
     few = texts.where((rank < rate(UNLABELLED, docs.count())) & ~held_out(F.col("doc_id")))
     positive = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select(F.lit(1).alias("kind"), "text")
-    unlabelled = few.join(labelled.select("doc_id"), "doc_id", "left_anti").select(F.lit(0).alias("kind"), "text")
+    known = labelled.select("doc_id", F.lit(2).alias("known")).distinct()  # 2: labelled, for want of others
+    unlabelled = few.join(known, "doc_id", "left").select(F.coalesce("known", F.lit(0)).alias("kind"), "text")
     rows = positive.unionByName(unlabelled).mapInArrow(_feature_rows, "kind int, x array<float>").toArrow()
     kind, x = rows.column("kind").to_numpy(), rows.column("x").combine_chunks().values.to_numpy().reshape(-1, N_FEATURES)
     order = np.lexsort(x.T[::-1])  # whatever the order of tasks
     kind, x = kind[order], x[order]
-    return x[kind == 1], x[kind == 0]
+    return x[kind == 1], x[kind != 1] if np.count_nonzero(kind == 0) < FEW else x[kind == 0]
 
 
 def scored(docs: DataFrame, model: Model, score_col: str, *, text_col: str = "text") -> DataFrame:

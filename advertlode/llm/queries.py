@@ -79,7 +79,7 @@ def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents."""
     docs = table(spark, sf_dir, "documents")
-    return pu_quality.quality_scores(docs, pu_quality.fit(*pu_quality.sample(docs, table(spark, sf_dir, "labels"))))
+    return pu_quality.quality_scores(docs, pu_quality.learned(docs, table(spark, sf_dir, "labels")))
 
 
 def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .cube import mix
 from .lsh_forest import one_of_each
-from .pu_quality import THRESHOLD, fit, sample, scored
+from .pu_quality import THRESHOLD, learned, scored
 from .string_tiling import decontaminated
 from .tables import fresh, shared_path
 from .token_files import token_digests, write_token_files
@@ -26,7 +26,7 @@ def tokenizer_path() -> str:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the given documents and their labels."""
-    model = fit(*sample(docs, table(spark, sf_dir, "labels")))
+    model = learned(docs, table(spark, sf_dir, "labels"))
     score, = fresh(docs, "_score")
     return scored(docs, model, score).where(F.col(score) >= THRESHOLD).select(*docs.columns)
 

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from advertlode.llm import (cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling,
                             token_files)
+from advertlode.llm.queries import QUERIES
 from advertlode.llm.stages import tokenizer_path
 from advertlode.llm.tables import shared_path
 
@@ -141,6 +142,22 @@ def test_quality(spark, odd):
         pu_quality.fit(*pu_quality.sample(odd, labels.limit(0)))
 
 
+def test_quality_without_texts_positives_or_unlabelled_texts(spark, odd, tmp_path):
+    docs = spark.createDataFrame([(i, ("god tekst, med ord " if i % 2 else "XX 00 !! ") * (i % 7 + 1)) for i in range(40)], "doc_id long, text string")
+    every = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    for name, texts, labels in (("empty", docs.limit(0), every), ("none", docs, every.limit(0)), ("bad", docs, every.where("quality = 0")), ("all", docs, every)):
+        sf = str(tmp_path / name)
+        texts.write.parquet(f"{sf}/documents.parquet")
+        labels.write.parquet(f"{sf}/labels.parquet")
+        found = {r.doc_id: r.score for r in QUERIES["op9_pu_quality"](spark, sf).collect()}
+        stayed = corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).count()
+        assert len(found) == (0 if name == "empty" else 40)
+        if name == "all":
+            assert min(found[i] for i in range(1, 40, 2)) > max(found[i] for i in range(0, 40, 2))
+        else:
+            assert set(found.values()) <= {0.5} and stayed == len(found)
+
+
 def test_lines(spark):
     rows = [(i, f"felles\n egen {i}\n\n  felles ", f"s{i}", "k") for i in range(4)]
     rows += [(4, None, "s4", "k"), (5, "", "s5", "k"), (6, "felles", None, "k"), (7, "sjelden\nfelles", "s0", "k"), (7, "sjelden\nfelles", "s0", "k")]
