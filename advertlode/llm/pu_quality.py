@@ -6,7 +6,7 @@ unlabelled (best bin estimate of the class prior). The final model minimises the
     prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])
 with the logistic loss, so that its score estimates the probability of label 1. Features are statistics of the whole text:
 shares of byte classes, of kinds of words, lengths and repetition. Fitting is on the driver, on at most POSITIVES and
-UNLABELLED rows (in expectation; a hash of the id decides, at a rate that follows from the counts), with features of
+UNLABELLED ids, those of the least hashes, with one text each, whatever repeats; a text has features of
 some 70 numbers. Scoring reads each text once and shuffles nothing.
 
 Where fewer than FEW drawn texts are unlabelled, labelled ones join them without their labels. Without positives nothing can be
@@ -206,10 +206,10 @@ def held_out(id_col: Column) -> Column:
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, to, data, at in slices(batch.column(1)):
+        for row, to, data, at in slices(batch.column(2)):
             x, _ = features(data, at)
             flat = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float32()))
-            yield pa.record_batch([batch.column(0).slice(row, to - row), flat], ["kind", "x"])
+            yield pa.record_batch([batch.column(0).slice(row, to - row), batch.column(1).slice(row, to - row), flat], ["kind", "rank", "x"])
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -217,21 +217,30 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Positives: ids with no label but 1, that are not held out. Unlabelled: ids without a label, and
     if they have fewer than FEW texts also labelled ones that are not held out. The ids of the positives are at most POSITIVES, so they are broadcast.
+    Of rows that repeat an id the least text counts. Hashes first leave out most ids, so that few are sorted.
     """
     labelled = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     good = labelled.groupBy("doc_id").agg(F.min("quality").alias("q")).where((F.col("q") == 1) & ~held_out(F.col("doc_id")))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL AND text <> ''")
-    rank = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
+    hashed = F.xxhash64("doc_id", F.lit(11))
+    rank = F.pmod(hashed, F.lit(1 << 30))
 
     def rate(most: int, total: int) -> int:
         return (1 << 30) * min(most, total) // max(1, total)
 
-    chosen = good.where(rank < rate(POSITIVES, good.count())).select("doc_id").limit(POSITIVES)
-    few = texts.where((rank < rate(UNLABELLED, docs.count())) & ~held_out(F.col("doc_id")))
-    positive = texts.join(F.broadcast(chosen), "doc_id", "left_semi").select(F.lit(1).alias("kind"), "text")
+    def one_each(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("doc_id").agg(F.min("text").alias("text")).withColumn("rank", F.struct(rank.alias("rank"), hashed.alias("hash")))
+
+    chosen = good.where(rank < rate(POSITIVES * 5 // 4, good.count())).orderBy(rank, hashed).limit(POSITIVES).select("doc_id")
+    # Held-out ids, a fifth, are drawn in vain, and the number of ids is known within some hundredths.
+    drawn = rate(UNLABELLED * 3 // 2, docs.agg(F.approx_count_distinct(F.col(id_col), 0.02)).first()[0])
+    few = one_each(texts.where((rank < drawn) & ~held_out(F.col("doc_id"))))
+    positive = one_each(texts.join(F.broadcast(chosen), "doc_id", "left_semi")).select(F.lit(1).alias("kind"), "rank", "text")
     known = labelled.select("doc_id", F.lit(2).alias("known")).distinct()  # 2: labelled, for want of others
-    unlabelled = few.join(known, "doc_id", "left").select(F.coalesce("known", F.lit(0)).alias("kind"), "text")
-    rows = positive.unionByName(unlabelled).mapInArrow(_feature_rows, "kind int, x array<float>").toArrow()
+    unlabelled = few.join(known, "doc_id", "left").select(F.coalesce("known", F.lit(0)).alias("kind"), "rank", "text")
+    wanted = "kind int, rank struct<rank: bigint, hash: bigint>, x array<float>"
+    others = unlabelled.mapInArrow(_feature_rows, wanted).orderBy("rank").limit(UNLABELLED)
+    rows = positive.mapInArrow(_feature_rows, wanted).unionByName(others).drop("rank").toArrow()
     kind, x = rows.column("kind").to_numpy(), rows.column("x").combine_chunks().values.to_numpy().reshape(-1, N_FEATURES)
     order = np.lexsort(x.T[::-1])  # whatever the order of tasks
     kind, x = kind[order], x[order]

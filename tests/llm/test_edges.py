@@ -158,6 +158,25 @@ def test_quality_without_texts_positives_or_unlabelled_texts(spark, odd, tmp_pat
             assert set(found.values()) <= {0.5} and stayed == len(found)
 
 
+def test_quality_learns_from_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(pu_quality, "POSITIVES", 30)
+    monkeypatch.setattr(pu_quality, "UNLABELLED", 90)
+    rows = [(i, f"tekst {'a' * (i % 50)} nummer {i}") for i in range(1500)] + [(1, f"gjentatt {i} igjen") for i in range(700)]
+    rows += [(i % 1300 + 200, f"tekst {'b' * (i % 40)} {i}") for i in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    drawn = [pu_quality.sample(docs.repartition(n, *by), labels.repartition(n)) for n, *by in ((1,), (7,), (5, "text"))]
+    for positive, unlabelled in drawn:
+        assert len(positive) == 30 and 64 <= len(unlabelled) <= 90
+        assert (positive == drawn[0][0]).all() and (unlabelled == drawn[0][1]).all()
+    for hot in range(200):  # whichever ids are drawn, one that repeats is one text
+        if not int(spark.range(hot, hot + 1).select(pu_quality.held_out(F.col("id"))).first()[0]):
+            break
+    few = spark.createDataFrame([(hot, f"gjentatt {i} igjen") for i in range(500)] + [(1000 + i, f"annen {i}") for i in range(70)], "doc_id long, text string")
+    positive, unlabelled = pu_quality.sample(few, labels)
+    assert len(positive) == 1 and len(unlabelled) <= 71
+
+
 def test_lines(spark):
     rows = [(i, f"felles\n egen {i}\n\n  felles ", f"s{i}", "k") for i in range(4)]
     rows += [(4, None, "s4", "k"), (5, "", "s5", "k"), (6, "felles", None, "k"), (7, "sjelden\nfelles", "s0", "k"), (7, "sjelden\nfelles", "s0", "k")]
