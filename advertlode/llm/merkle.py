@@ -27,12 +27,13 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def leaves(records: DataFrame, *, file_col: str = "file", order_col: str = "seq", record_col: str = "record") -> DataFrame:
-    """`file, seq, offset, length, hash` of records that stand in their files in the order of `order_col`. Only lengths
+def leaves(records: DataFrame, *, file_col: str = "file", order_col: str = "seq", record_col: str = "record",
+           also: tuple[str, ...] = ()) -> DataFrame:
+    """`file, seq, offset, length, hash`, and the columns `also`, of records that stand in their files in the order of `order_col`. Only lengths
     and hashes are shuffled. Null records are empty; of records with one place, the one with the lesser hash is first."""
     record = F.coalesce(F.col(record_col), F.lit(""))
     rows = records.select(F.col(file_col).alias("file"), F.col(order_col).alias("seq"), F.octet_length(record).cast("long").alias("length"),
-                          F.sha2(record.cast("binary"), 256).alias("hash"))
+                          F.sha2(record.cast("binary"), 256).alias("hash"), *also)
     before = Window.partitionBy("file").orderBy("seq", "hash").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling
 from .stages import table, token_files, tokenizer_path
-from .tables import shared_path
+from .tables import shared_path, staged
 
 
 def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,13 +44,13 @@ def op4_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.floor(F.length("record") / 2).cast("int")
     kept = F.when(part == 0, F.overlay("record", F.lit("\x00"), half, F.lit(1))).when(
         part == 1, F.substring(F.col("record"), F.lit(1), half)).otherwise(F.col("record"))
-    primary = merkle.leaves(records)
-    # The copy's index is the first copy's: records keep their offsets, and one that is lost leaves a gap.
-    hashes = records.where(part != 2).select(F.col("file").alias("f"), F.col("seq").alias("s"), F.sha2(kept.cast("binary"), 256).alias("own"),
-                                             F.octet_length(kept).cast("long").alias("own_length"))
-    replica = primary.join(hashes, F.col("file").eqNullSafe(F.col("f")) & F.col("seq").eqNullSafe(F.col("s"))).select(
-        "file", "seq", "offset", F.col("own_length").alias("length"), F.col("own").alias("hash"))
-    return merkle.audit(primary, replica).select(F.col("seq").alias("page_id"), "file", F.col("offset").alias("record_offset"), "length", "kind")
+    # The copy's index is the first copy's: records keep their offsets, and one that is lost leaves a gap. Its hashes are those
+    # of the same rows, so repeated ids stay rows of their own; ids that are null are under no rule.
+    copied = records.select("*", F.sha2(kept.cast("binary"), 256).alias("own"), F.octet_length(kept).cast("long").alias("own_length"),
+                            part.eqNullSafe(F.lit(2)).alias("lost"))
+    both = staged(merkle.leaves(copied, also=("own", "own_length", "lost")), "copies")
+    replica = both.where(~F.col("lost")).select("file", "seq", "offset", F.col("own_length").alias("length"), F.col("own").alias("hash"))
+    return merkle.audit(both.drop("own", "own_length", "lost"), replica).select(F.col("seq").alias("page_id"), "file", F.col("offset").alias("record_offset"), "length", "kind")
 
 
 def op5_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

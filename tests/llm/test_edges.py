@@ -208,6 +208,15 @@ def test_audit(spark):
     assert null.select(merkle.warc_record(F.col("page_id"), F.col("url"), F.col("html")).alias("r")).first().r.endswith("Content-Length: 0\r\n\r\n\r\n\r\n")
 
 
+def test_audit_of_pages_with_repeated_and_null_ids(spark, tmp_path):
+    rows = [(i, "u", f"side {i}") for i in range(200)] + [(97, "u", f"igjen {n}") for n in range(20)] + [(5, "u", f"og {n}") for n in range(20)]
+    rows += [(99, "u", f"borte {n}") for n in range(3)] + [(None, "u", f"uten {n}") for n in range(4)] + [(5, "u", "lik"), (5, "u", "lik")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = sorted((r.page_id, r.kind) for r in QUERIES["op4_merkle_audit"](spark, str(tmp_path)).collect())
+    kinds = {0: "changed", 1: "changed", 2: "missing"}
+    assert found == sorted((i, kinds[i % 97]) for i, *_ in rows if i is not None and i % 97 in kinds)
+
+
 def test_main_text(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x")],
                                   "page_id long, url string, html string, text string")
