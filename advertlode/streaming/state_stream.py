@@ -34,7 +34,7 @@ def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *
     Candidates go to `decided_path` under `writer=W/batch_id=N`, the state becomes the next version whoever wrote the one before.
     W is `name`, or else the id that Spark gives the stream and keeps in its checkpoint. A batch of W that is already
     committed is left out, so a replay changes nothing; another stream, or a run, on the same state is another writer.
-    The batch is computed once. `keep` versions stay, for readers and for telling replays.
+    The batch is computed once. `keep` versions stay, for readers; replays are told however many others have been written since.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession

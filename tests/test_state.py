@@ -1,3 +1,4 @@
+import glob
 import random
 
 import pytest
@@ -124,6 +125,20 @@ def test_versions(spark):
     assert drop_old_versions(spark, root, keep=1) == [0, 1] and versions(spark, root) == [2]
 
 
+def test_the_last_batch_of_a_writer_is_known_after_its_version_is_dropped(spark):
+    root = work_dir(spark, "state")
+    for batch in range(3):
+        commit_state(state(spark, ("A", "t", None, None)), root, writer="w", batch=batch)
+    for n in range(3):
+        commit_state(state(spark, ("A", "t", None, None)), root)
+        commit_state(state(spark, ("A", "t", None, None)), root, writer="x/y", batch=n)
+        drop_old_versions(spark, root, keep=2)
+    assert versions(spark, root) == [7, 8]
+    assert [committed_batch(spark, root, "w", n) for n in range(4)] == [None, None, 2, None]
+    assert [committed_batch(spark, root, "x/y", n) for n in (1, 2, 3)] == [None, 8, None]
+    assert len(glob.glob(f"{root.removeprefix('file:')}/*.writer")) == 3  # w's last, and those of the two versions
+
+
 def test_a_run_shuffles_the_state_once(spark):
     from advertlode.plans.run import RunConfig, next_state
 
