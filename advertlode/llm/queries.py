@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling
+from . import (bisectors, cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, periodic_runs, pivot_index, pu_quality, separators,
+               string_tiling)
 from .stages import table, token_files, tokenizer_path
 from .tables import shared_path, staged
 
@@ -87,9 +89,93 @@ def op10_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_pivot_permutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label."""
+    return pivot_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all vectors, with the sums of their distances."""
+    found = bisectors.clustered(table(spark, sf_dir, "embeddings"))
+    names = spark.createDataFrame([(c, hashlib.sha256(",".join(map(str, v)).encode()).hexdigest()) for c, v in enumerate(found.centroids)],
+                                  "cluster int, centroid_sha256 string")
+    sums = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("sum"))
+    total = sums.agg(F.sum("sum").alias("total"))
+    # One row per centroid, so that the join moves no vectors.
+    own = sums.crossJoin(F.broadcast(total)).join(F.broadcast(names), "cluster").select(
+        "cluster", F.col("sum").cast("long").alias("cluster_inertia"), F.col("total").cast("long").alias("inertia"), "centroid_sha256")
+    return found.rows.join(F.broadcast(own), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """`doc_id, text`, where every tenth document by the crc32 of its id repeats its words from one place on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    place = F.floor(hashed / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = F.when(n > 0, place % F.nullif(n, F.lit(0)))
+        period = 1 + F.floor((n - a) / (3 + place % 8))
+        return F.when(n == 0, F.lit("")).otherwise(F.concat_ws(" ", F.slice(words, F.lit(1), a.cast("int")), F.transform(
+            F.sequence(a, F.lit(1).cast("long") * n - 1), lambda i: F.get(words, (a + (i - a) % period).cast("int")))))
+
+    # A function of one-element arrays binds its argument once.
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    tail = F.get(F.transform(F.array(words), repeated), F.lit(0))
+    return docs.select("doc_id", F.when(hashed % 10 == 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def op13_recompressed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, every tenth with a repeated tail, and digests of the texts without repeats."""
+    found = periodic_runs.periodic_runs(_with_repeated_tails(table(spark, sf_dir, "documents")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.sha2(listed, 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, start, period = F.col("top")["length"], -F.col("top")["col2"], -F.col("top")["col3"]
+    return rows.select("doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+                       F.floor(1000 * length / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def _clusters_sql(k: int = bisectors.K, dim: int = bisectors.DIM, rounds: int = bisectors.ROUNDS) -> str:
+    """All distances in every round; the least of `distance * k + number` is the nearest, the smaller number among equals."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        near{r} AS (
+            SELECT r, min(far * {k} + number) AS best FROM (
+                SELECT r, number, sum((parts.v - c.v) * (parts.v - c.v))::BIGINT AS far
+                FROM parts JOIN centroids{r} c USING (place) GROUP BY r, number) GROUP BY r)""")
+        if r < rounds:
+            steps.append(f"""
+        sums{r} AS (
+            SELECT best % {k} AS number, place, sum(v)::BIGINT AS s, count(*) AS n FROM parts JOIN near{r} USING (r) GROUP BY ALL),
+        centroids{r + 1} AS (
+            SELECT c.number, c.place, coalesce((s - ((s % n) + n) % n) // n, c.v) AS v
+            FROM centroids{r} c LEFT JOIN sums{r} USING (number, place))""")
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({bisectors.SCALE} * x::DOUBLE)::BIGINT) AS x
+            FROM embeddings
+            WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+        parts AS (SELECT r, unnest(range({dim})) AS place, unnest(x) AS v FROM kept),
+        centroids0 AS (
+            SELECT number, unnest(range({dim})) AS place, unnest(x) AS v FROM (
+                SELECT x, row_number() OVER (ORDER BY sha256('{bisectors.SEED}:' || vec_id)) - 1 AS number FROM kept)
+            WHERE number < {k}),{",".join(steps)},
+        found AS (SELECT r, (best % {k})::INTEGER AS cluster, best // {k} AS distance FROM near{rounds}),
+        names AS (SELECT number, sha256(string_agg(v::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM centroids{rounds} GROUP BY number)
+        SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+               sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+        FROM found JOIN kept USING (r) JOIN names ON number = cluster"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_rans_token_files, op2_path_ratios, op3_separator_scan, op4_merkle_audit, op5_string_tiling,
-                            op6_cube_mix, op7_line_spread, op8_order_minhash, op9_pu_quality, op10_lsh_forest)}
+                            op6_cube_mix, op7_line_spread, op8_order_minhash, op9_pu_quality, op10_lsh_forest, op11_pivot_permutations,
+                            op12_bisector_tournament, op13_recompressed_runs)}
 
 SQL: dict[str, str] = {
     "op4_merkle_audit": rf"""
@@ -119,4 +205,5 @@ SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(bad.line) AS n_removed,
                md5(coalesce(string_agg(lines.line, chr(10) ORDER BY place) FILTER (WHERE bad.line IS NULL), '')) AS text_md5
         FROM lines LEFT JOIN bad ON trim(lines.line, ' ') = bad.line GROUP BY doc_id""",
+    "op12_bisector_tournament": _clusters_sql(),
 }

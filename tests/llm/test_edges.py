@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from advertlode.llm import (cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, pu_quality, separators, string_tiling,
-                            token_files)
+from advertlode.llm import (bisectors, cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, periodic_runs, pivot_index, pu_quality,
+                            separators, string_tiling, token_files)
+from advertlode.llm import queries
 from advertlode.llm.queries import QUERIES
 from advertlode.llm.stages import tokenizer_path
 from advertlode.llm.tables import shared_path
@@ -233,3 +234,57 @@ def test_pipeline_stages_keep_the_columns(spark, odd, tmp_path):
     assert names == ["quality", "near_duplicates", "decontamination", "mix", "token_files"]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, str(tmp_path)).columns == odd.columns
+
+
+INF, NAN = float("inf"), float("nan")
+# Columns that share names with the operators' own.
+VECTORS = "vec_id long, embedding array<float>, label int, id long, node string, vector string, near int, times int, cluster int, x int, part int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*r, 1, "n", "v", 2, 3, 4, 5, 6) for r in rows], VECTORS).repartition(3)
+
+
+def test_near_vectors(spark):
+    a, b, far = [1.0, 0.0, 0.0], [2.0, 0.05, -0.0], [0.0, 1.0, 0.0]
+    odd = vectors(spark, [(1, a, 1), (2, a, 1), (2, a, 1), (3, b, 1), (4, a, 2), (5, a, None), (6, None, 1), (7, [], 1), (8, [0.0, 0.0, 0.0], 1),
+                          (9, [1.0, None, 0.0], 1), (10, [NAN, 0.0, 0.0], 1), (11, [INF, 0.0, 0.0], 1), (12, [1.0, 0.0], 1), (13, far, 1),
+                          (None, a, 1), (None, far, 2), (14, [3e38, 0.0, 0.0], 3), (15, [1e-38, 1e-40, 0.0], 3)])
+    found = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in pivot_index.near_vectors(odd).collect()), key=repr)
+    expected = [(1, 4, 1, True), (2, 4, 1, False), (2, 4, 1, False), (3, 4, 1, False), (None, 4, 1, False), (None, 0, None, False),
+                (14, 1, 14, True), (15, 1, 14, False), *[(i, 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12, 13)]]
+    assert found == sorted(expected, key=repr)
+    assert pivot_index.near_vectors(odd.limit(0)).collect() == []
+    assert {r.component_id for r in pivot_index.near_vectors(odd.where("vec_id in (6, 8)")).collect()} == {6, 8}
+
+
+def test_clusters(spark):
+    one, two = [0.5] * 64, [-0.25] * 64
+    rows = [(1, one, 1), (1, one, 1), (2, two, None), (None, two, 1), (3, None, 1), (4, one[:63], 1), (5, [*one[:63], None], 1), (6, [*one[:63], NAN], 1),
+            (7, [*one[:63], INF], 1), (8, [*one[:63], 3e38], 1), (9, [*one[:63], -7.3], 1)]
+    found = bisectors.clustered(vectors(spark, rows))
+    assert ids(found.rows, "id") == sorted([1, 1, 2, None, 9], key=repr) and len(found.centroids) == 5
+    assert {r.distance for r in found.rows.collect()} == {0}
+    by_id = {r.id: r.cluster for r in found.rows.collect()}
+    assert found.centroids[by_id[9]] == [32] * 63 + [-468]  # floor(64 * -7.3)
+    none = bisectors.clustered(vectors(spark, rows).where("vec_id > 2 AND vec_id < 9"))
+    assert none.rows.collect() == [] and none.centroids == []
+    assert bisectors.clustered(vectors(spark, rows), k=1).centroids == [bisectors.clustered(vectors(spark, rows), k=1, rounds=5).centroids[0]]
+    with pytest.raises(ValueError):
+        bisectors.clustered(vectors(spark, rows), k=10_000)
+
+
+def test_runs(spark, odd):
+    found = periodic_runs.periodic_runs(odd)
+    assert ids(found) == ids(odd)
+    long = found.where("doc_id = 8").first()
+    assert long.n_words == 80_000 and long.collapsed == "lang tekst med ord"
+    assert [tuple(r) for r in long.runs] == [(0, 80_000, 4)]
+    for row in found.where("doc_id IN (3, 4, 5)").collect():
+        assert (row.n_words, row.runs, row.collapsed) == (0, [], "")
+    assert {r.collapsed for r in found.where("doc_id = 9").collect()} == {"é 日本 語 ½ <|x|> to rom", "annen tekst"}
+    assert periodic_runs.periodic_runs(odd.limit(0)).collect() == []
+    tables = spark.createDataFrame([(10, "a b c " * 6), (10, "a b c " * 6), (11, None), (12, " "), (None, "x " * 20)], "doc_id long, text string")
+    repeated = {r.doc_id: r.text for r in queries._with_repeated_tails(tables).collect()}
+    assert repeated[11] in (None, "") and len(repeated) == 4  # ids on more rows, and none, are rows like others
+    assert repeated[None] == "x " * 20  # no id, no hash: the text as it is

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from advertlode.llm import cube, order_minhash, path_ratios, rans, string_tiling
+from advertlode.llm import bisectors, cube, order_minhash, path_ratios, periodic_runs, pivot_index, rans, recompression, string_tiling
 from advertlode.llm.queries import QUERIES, SQL
 from advertlode.llm.stages import tokenizer_path
 from advertlode.llm.tokens import Encoder
@@ -81,7 +81,7 @@ def tokenized(text):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     with duckdb.connect() as connection:
-        for table in ("documents", "pages"):
+        for table in ("documents", "pages", "embeddings"):
             connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         answer = connection.execute(SQL[name])
         names = [c[0] for c in answer.description]
@@ -425,3 +425,170 @@ def test_pipeline_against_brute_force(spark, docs, tmp_path):
     assert max(Counter(r.doc_id for r in out).values()) <= 3
     for row in out[:20]:
         assert row.n_tokens == len(tokenized(docs[row.doc_id][0])) + 1
+
+
+def cosines(x):
+    x = np.asarray(x, float)
+    x = x / np.sqrt((x * x).sum(1))[:, None]
+    return x @ x.T
+
+
+def vector_groups(ids, vectors, labels, least):
+    """Links of every row and its component by comparing all pairs."""
+    near = (cosines(vectors) >= least) & (np.asarray(labels)[:, None] == np.asarray(labels)[None, :])
+    np.fill_diagonal(near, False)
+    up = np.arange(len(ids))
+    for _ in range(len(ids)):
+        lower = np.minimum(up, np.where(near, up[None, :], len(ids)).min(1, initial=len(ids)))
+        if np.array_equal(lower, up):
+            break
+        up = lower
+    component = {c: min(ids[i] for i in np.flatnonzero(up == c)) for c in set(up.tolist())}
+    return near.sum(1).tolist(), [component[c] for c in up.tolist()]
+
+
+def near_families(rng, dim=24):
+    """Vectors of two labels: a large family around one point, small ones, chains, exact copies and single ones."""
+    def around(v, far):
+        v = v + far * rng.standard_normal(dim) * np.linalg.norm(v) / np.sqrt(dim)
+        return v * rng.uniform(0.5, 2)
+
+    points = [rng.standard_normal(dim) for _ in range(60)]
+    rows = [around(points[0], f) for f in rng.uniform(0.02, 0.2, 300)] + [around(p, 0.12) for p in points for _ in range(3)] + points
+    chain = points[1]
+    for _ in range(40):
+        chain = around(chain, 0.15)
+        rows.append(chain)
+    rows += rows[:50]
+    return rows
+
+
+def test_near_vectors(spark, monkeypatch):
+    monkeypatch.setattr(pivot_index, "PART", 64)  # the large family takes several blocks
+    rng = np.random.default_rng(8)
+    rows = near_families(rng)
+    labels = rng.integers(0, 2, len(rows)).tolist()
+    ids = rng.permutation(len(rows)).tolist()
+    found = pivot_index.near_vectors(spark.createDataFrame([(i, v.tolist(), k) for i, v, k in zip(ids, rows, labels)],
+                                                           "vec_id long, embedding array<double>, label int")).collect()
+    links, component = vector_groups(ids, rows, labels, 0.98)
+    assert {r.vec_id: r.n_links for r in found} == dict(zip(ids, links)) and sum(links) > 5000
+    assert {r.vec_id: (r.component_id, r.kept) for r in found} == {i: (c, c == i) for i, c in zip(ids, component)}
+
+
+def test_recall_at_the_threshold():
+    """Pairs of cosine 0.98 exactly, where the index misses most."""
+    rng = np.random.default_rng(9)
+    x, far = (rng.standard_normal((20_000, 64)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    far -= (far * x).sum(1)[:, None] * x
+    y = 0.98 * x + np.sqrt(1 - 0.98 ** 2) * far / np.linalg.norm(far, axis=1)[:, None]
+    batches = [pa.record_batch([pa.array([b""] * len(v)), pa.array(["l"] * len(v)), pa.array(list(v))], ["node", "label", "vector"]) for v in (x, y)]
+    one, two = (np.asarray(b.column("near").flatten()).reshape(-1, pivot_index.NEAREST) for b in pivot_index._described({}, pivot_index.PIVOTS)(iter(batches)))
+    shared = [(one[:, :k, None] == two[:, None, :k]).any(2).sum(1) for k in (pivot_index.KEYED, pivot_index.NEAREST)]
+    assert ((shared[0] >= 2) & (shared[1] >= pivot_index.SHARED)).mean() > 0.999
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 6), st.integers(0, 2 ** 32))
+def test_tournament_finds_the_nearest(k, dim, seed):
+    rng = np.random.default_rng(seed)
+    x, centroids = rng.integers(-3, 4, (50, dim)), rng.integers(-3, 4, (k, dim))
+    found = bisectors.Bisectors.of(centroids.tolist(), dim)
+    far = ((x[:, None, :] - centroids[None]) ** 2).sum(2)
+    best = found.winners(x)
+    assert (best == far.argmin(1)).all() and (found.distances(x, best) == far.min(1)).all()
+
+
+def test_tournament_at_the_largest_numbers():
+    most = bisectors.largest(64)
+    corners = np.asarray([[most] * 64, [-most] * 64, [most, -most] * 32])
+    found = bisectors.Bisectors.of(corners.tolist(), 64)
+    assert found.winners(corners).tolist() == [0, 1, 2] and found.distances(corners, np.asarray([1, 0, 0])).tolist() == [64 * 4 * most ** 2] * 2 + [128 * most ** 2]
+
+
+def plain_runs(words, least):
+    """(start, length, period) of all runs, by comparing the words at each distance."""
+    found = {}
+    for p in range(1, len(words) // 2 + 1):
+        equal = [a == b for a, b in zip(words, words[p:])] + [False]
+        start = None
+        for i, same in enumerate(equal):
+            if same and start is None:
+                start = i
+            elif not same and start is not None:
+                if i - start >= max(least - p, p):
+                    found.setdefault((start, i - start + p), p)
+                start = None
+    return sorted((s, n, p) for (s, n), p in found.items())
+
+
+def periodic(rng, size, letters):
+    words = (rng.choices(range(letters), k=rng.randrange(1, 20)) * size)[:size]
+    for _ in range(rng.randrange(4) if size else 0):
+        words[rng.randrange(size)] = rng.randrange(letters)
+    return words
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_runs(seed):
+    rng = random.Random(seed)
+    texts = [periodic(rng, rng.choice([0, 1, 11, 12, 13, 40, 150]), rng.choice([1, 2, 3, 6])) for _ in range(6)]
+    texts += [[rng.randrange(2) for _ in range(80)]]
+    least = rng.choice([4, 6, 12])
+    first = np.cumsum([0, *map(len, texts)])
+    found = zip(*(c.tolist() for c in periodic_runs.runs_of(np.asarray([w for t in texts for w in t], np.int64), first, least)))
+    expected = [(t, *run) for t, words in enumerate(texts) for run in plain_runs(words, least)]
+    assert sorted(found) == sorted(expected)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_extensions_in_the_grammar(seed):
+    rng = random.Random(seed)
+    words = [100, *periodic(rng, 400, 3), *periodic(rng, 300, 2), *[1] * 90, 101]
+    found = recompression.grammar(np.asarray(words))
+    pairs = [rng.sample(range(1, len(words) - 1), 2) for _ in range(500)]
+    a, b = np.asarray(pairs).T
+
+    def plain(i, j, step):
+        n = 0
+        while words[i + step * n] == words[j + step * n]:
+            n += 1
+        return n
+
+    assert found.forward(a, b).tolist() == [plain(i, j, 1) for i, j in pairs]
+    assert found.backward(a, b).tolist() == [plain(i, j, -1) for i, j in pairs]
+
+
+def test_one_long_text_of_one_word_and_a_long_odd_one():
+    start = time.perf_counter()
+    assert [c.tolist() for c in periodic_runs.runs_of(np.zeros(150_000, np.int64), np.asarray([0, 150_000]))] == [[0], [0], [150_000], [1]]
+    odd = [0], [0, 1]
+    while len(odd[1]) < 70_000:
+        odd = odd[1], odd[1] + odd[0]
+    _, begin, length, period = periodic_runs.runs_of(np.asarray(odd[1]), np.asarray([0, len(odd[1])]))
+    assert len(begin) and (length >= 2 * period).all() and time.perf_counter() - start < 60
+
+
+def test_recompressed_runs(spark, docs):
+    import hashlib
+
+    found = {r.doc_id: r for r in collected(spark, "op13_recompressed_runs")}
+    assert set(found) == set(docs) and sum(r.n_runs > 0 for r in found.values()) > 5
+    for i, (text, _) in docs.items():
+        own, h = words(text), zlib.crc32(str(i).encode())
+        g, n = h // 10, len(own)
+        if n > 3000 and h % 10:  # the plain form takes the square
+            continue
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            own = [own[k] if k < a else own[a + (k - a) % p] for k in range(n)]
+        runs = plain_runs(own, 12)
+        dropped = {k for s, m, p in runs for k in range(s + p, s + m)}
+        top = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else None
+        row = found[i]
+        assert (row.n_runs, row.start, row.length, row.period, row.exponent_milli) == (
+            len(runs), *(top or (None,) * 3), top and 1000 * top[1] // top[2])
+        assert row.runs_sha256 == hashlib.sha256("".join(f"{s},{m},{p}\n" for s, m, p in runs).encode()).hexdigest()
+        assert row.collapsed_sha256 == hashlib.sha256(" ".join(w for k, w in enumerate(own) if k not in dropped).encode()).hexdigest()
