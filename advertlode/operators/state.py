@@ -17,10 +17,10 @@ def _last(value: str) -> Column:
     return F.max_by(value, F.when(F.col(value).isNotNull(), F.col("seq")))
 
 
-def latest_updates(updates: DataFrame, *more: Column) -> DataFrame:
+def latest_updates(updates: DataFrame, *more: Column, by: tuple[str, ...] = ()) -> DataFrame:
     """Reduce updates to one per listing: greatest `last_seen_at`, last non-NULL `updated_at` and fingerprint, and any
-    further aggregates given."""
-    return updates.groupBy("listing_id").agg(
+    further aggregates given. `by` names columns that depend on the listing alone and stay."""
+    return updates.groupBy(*by, "listing_id").agg(
         F.max("last_seen_at").alias("last_seen_at"), _last("updated_at").alias("updated_at"),
         _last("detail_fingerprint").alias("detail_fingerprint"), *more)
 

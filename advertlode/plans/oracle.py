@@ -457,6 +457,7 @@ ORACLE: dict[str, str] = {
 for _name, _same in (("sink_exploded_parquet", "advert_rows"), ("sink_exploded_csv", "advert_rows"),
                      ("stream_rows", "advert_rows"), ("sink_listings_parquet", "advert_listings"),
                      ("sink_listings_csv", "advert_listings"), ("state_commit", "state_upsert"),
+                     ("state_buckets", "state_upsert"),
                      ("stream_state", "state_upsert"), ("stream_versions", "state_upsert")):
     ORACLE[_name] = ORACLE[_same]
 

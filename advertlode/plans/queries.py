@@ -19,12 +19,12 @@ from ..operators.details import code_rows, detail_fields, distinct_rows, explode
 from ..operators.discovery import list_summaries, non_empty_pages, page_items, search_frontier
 from ..operators.orgs import match_orgs
 from ..operators.state import (candidate_sources, candidates, decide, fingerprint, incremental_efficiency,
-                               lookup_fingerprints, seen, unseen, update_fingerprints, upsert, upsert_summaries)
+                               latest_updates, lookup_fingerprints, seen, unseen, update_fingerprints, upsert, upsert_summaries)
 from ..schemas import EXPLODED, STATE
 from ..session import work_dir
 from ..sources import sinks
 from ..sources.pages import read_pages
-from ..sources.state_table import commit_state, read_state
+from ..sources.state_table import commit_state, commit_updates, read_state
 from ..streaming.state_stream import incremental_writer, streaming_rows, streaming_state
 from . import inputs
 from .inputs import RUN_TS, table
@@ -269,6 +269,16 @@ def state_commit(spark, sf_dir):
     return read_state(spark, root)
 
 
+@query
+def state_buckets(spark, sf_dir):
+    """The state after commits of updates alone: every run and then ten small batches of the last one again."""
+    root = work_dir(spark, "state")
+    later = inputs.runs(spark, sf_dir)[1]
+    for part in (*inputs.runs(spark, sf_dir), *[later.where(F.col("listing_id").endswith(f"{n}7")) for n in range(10)]):
+        commit_updates(latest_updates(part), root, buckets=32)
+    return read_state(spark, root)
+
+
 @query
 def fingerprints(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", fingerprint(F.col("html")).alias("detail_fingerprint"))

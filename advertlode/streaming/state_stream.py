@@ -8,8 +8,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.html import DEFAULT_DETAIL, DetailSelectors
 from ..operators.details import code_rows, detail_fields, exploded_rows
-from ..operators.state import candidates, decide, latest_updates, upsert
-from ..sources.state_table import commit_state, committed_batch, drop_old_versions, latest_version, read_state
+from ..operators.state import candidates, decide, latest_updates
+from ..sources.state_table import commit_updates, committed_batch, drop_old_versions, latest_version, read_state
 
 
 def streaming_state(updates: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *
     Candidates go to `decided_path` under `writer=W/batch_id=N`, the state becomes the next version whoever wrote the one before.
     W is `name`, or else the id that Spark gives the stream and keeps in its checkpoint. A batch of W that is already
     committed is left out, so a replay changes nothing; another stream, or a run, on the same state is another writer.
-    The batch is computed once. `keep` versions stay, for readers; replays are told however many others have been written since.
+    The batch is computed once, and only the buckets of the state that hold its listings are read and written. `keep` versions
+    stay, for readers; replays are told however many others have been written since.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -46,11 +47,11 @@ def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *
         batch = batch.persist()
         try:
             before = latest_version(spark, state_root)
-            state = read_state(spark, state_root, before)
+            state = read_state(spark, state_root, before, of=batch)
             chosen = candidates(decide(batch, state))
             chosen.select("listing_id", "reason", "seq").write.mode("overwrite").parquet(
                 f"{decided_path}/writer={writer}/batch_id={batch_id}")
-            commit_state(upsert(state, batch), state_root, writer=writer, batch=batch_id, after=before)
+            commit_updates(latest_updates(batch), state_root, writer=writer, batch=batch_id, after=before)
         finally:
             batch.unpersist()
         drop_old_versions(spark, state_root, keep)

@@ -1,16 +1,18 @@
 import glob
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from advertlode.operators.state import (candidate_sources, candidates, decide, fingerprint, incremental_efficiency,
-                                        lookup_fingerprints, seen, unseen, update_fingerprints, upsert,
+                                        latest_updates, lookup_fingerprints, seen, unseen, update_fingerprints, upsert,
                                         upsert_summaries)
 from advertlode.schemas import STATE
 from advertlode.session import work_dir
-from advertlode.sources.state_table import (ConcurrentWrite, commit_state, committed_batch, drop_old_versions,
-                                            read_state, versions)
+from advertlode.sources import state_table
+from advertlode.sources.state_table import (ConcurrentWrite, bucket, commit_state, commit_updates, committed_batch, drop_old_versions,
+                                            manifest, read_state, versions)
 
 UPDATE = "listing_id string, last_seen_at string, updated_at string, detail_fingerprint string, seq long"
 SUMMARY = "listing_id string, source_url string, updated_at string, seq long"
@@ -105,24 +107,104 @@ def test_efficiency(spark):
     assert measure(one.limit(0), two) == (0, 3, None)
 
 
+def names(df):
+    return [r.listing_id for r in df.orderBy("listing_id").collect()]
+
+
 def test_versions(spark):
     root = work_dir(spark, "state")
     assert versions(spark, root) == [] and read_state(spark, root).count() == 0
     assert commit_state(state(spark, ("A", "t", None, None)), root) == 0
     later = upsert_summaries(read_state(spark, root), spark.createDataFrame([("B", "u", "x", 0)], SUMMARY), seen_at="t2")
     assert commit_state(later, root) == 1
-    # A replayed commit changes nothing, and a write that did not finish does not count.
     with pytest.raises(ConcurrentWrite):
         commit_state(state(spark, ("Z", "t", None, None)), root, after=0)  # made from a version that is not the last
-    state(spark, ("Y", "t", None, None)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{root}/version=000000000002")
-    assert versions(spark, root) == [0, 1]
-    assert [r.listing_id for r in read_state(spark, root).orderBy("listing_id").collect()] == ["A", "B"]
+    assert versions(spark, root) == [0, 1] and names(read_state(spark, root)) == ["A", "B"]
     assert read_state(spark, root, 0).count() == 1
     with pytest.raises(ValueError):
         read_state(spark, root, 2)
     assert commit_state(later, root) == 2 and read_state(spark, root).count() == 2
     assert drop_old_versions(spark, root, keep=1) == [0, 1] and versions(spark, root) == [2]
+    assert names(read_state(spark, root)) == ["A", "B"]
+    assert commit_state(later.limit(0), root) == 3 and read_state(spark, root).count() == 0
+
+
+def files_of(root):
+    folder = root.removeprefix("file:")
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{folder}/data/*/bucket=*/*.parquet")}
+
+
+def test_a_commit_leaves_other_buckets_alone(spark):
+    root = work_dir(spark, "state")
+    whole = spark.range(4000).selectExpr("concat('L', id) AS listing_id", "'t1' AS last_seen_at", "'u1' AS updated_at",
+                                         "string(NULL) AS detail_fingerprint")
+    commit_state(whole, root, buckets=16)
+    before, files = manifest(spark, root, 0), files_of(root)
+    assert len(before.folders) == 16 == len(files)
+    batch = spark.createDataFrame([("L7", "t2", None, "f", 0), ("L7", "t0", "u2", None, 1), ("new", "t2", "u", None, 2)], UPDATE)
+    touched = {r[0] for r in batch.select(bucket(16).cast("string")).distinct().collect()}
+    assert commit_updates(latest_updates(batch), root) == 1
+    after = manifest(spark, root, 1)
+    assert {b for b in after.folders if after.folders[b] != before.folders[b]} == touched and len(touched) < 3
+    assert {p: at for p, at in files_of(root).items() if p in files} == files  # nothing rewritten or touched
+    assert len(files_of(root)) == len(files) + len(touched) and not glob.glob(f"{root.removeprefix('file:')}/data/updates-*")
+    assert rows(read_state(spark, root).where("listing_id IN ('L7', 'new')")) == [("L7", "t2", "u2", "f"), ("new", "t2", "u", None)]
+    assert read_state(spark, root).count() == 4001 and read_state(spark, root, 0).where("last_seen_at = 't2'").count() == 0
+    assert set(names(read_state(spark, root, of=batch))) >= {"L7", "new"} and read_state(spark, root, of=batch).count() < 1000
+    assert drop_old_versions(spark, root, keep=1) == [0]
+    assert len(files_of(root)) == 16 and read_state(spark, root).count() == 4001
+    assert rows(read_state(spark, root)) == rows(upsert(whole, batch))
+
+
+def test_buckets_against_whole_merges(spark):
+    root, rng, whole = work_dir(spark, "state"), random.Random(5), state(spark)
+    for n in range(4):
+        batch = spark.createDataFrame([(f"L{rng.randrange(60)}", f"2024-01-{rng.randrange(1, 29):02d}", rng.choice([None, "", "u1", "u2"]),
+                                        rng.choice([None, "f1", "f2"]), i) for i in range(rng.choice([0, 5, 80]))], UPDATE)
+        commit_updates(latest_updates(batch), root, after=n - 1 if n else None, buckets=8)
+        whole = upsert(whole, batch)
+    assert rows(read_state(spark, root)) == rows(whole)
+
+
+def test_one_of_two_writers_commits(spark, monkeypatch):
+    root = work_dir(spark, "state")
+    one, other = state(spark, ("A", "t", None, None)), state(spark, ("B", "t", None, None))
+    commit_state(one, root)
+    plain = state_table._commit
+
+    def late(session, path, new):
+        """The other writer comes in between this one's write and its commit."""
+        monkeypatch.setattr(state_table, "_commit", plain)
+        commit_updates(other, path, writer="other")
+        plain(session, path, new)
+
+    monkeypatch.setattr(state_table, "_commit", late)
+    with pytest.raises(ConcurrentWrite):
+        commit_updates(state(spark, ("C", "t", None, None)), root, writer="late")
+    assert names(read_state(spark, root)) == ["A", "B"] and versions(spark, root) == [0, 1]
+    assert committed_batch(spark, root, "late", 0) is None and committed_batch(spark, root, "other", 0) == 1
+
+
+def test_a_writer_that_dies_stops_nobody(spark, monkeypatch):
+    root = work_dir(spark, "state")
+    commit_state(state(spark, ("A", "t", None, None)), root)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(state_table, "_commit", dies)
+    with pytest.raises(KeyboardInterrupt):
+        commit_updates(state(spark, ("B", "t", None, None)), root, writer="w", batch=1)
+    monkeypatch.undo()
+    folder = root.removeprefix("file:")
+    open(f"{folder}/draft-0", "w").close()  # a manifest that was never finished
+    assert versions(spark, root) == [0] and names(read_state(spark, root)) == ["A"]
+    assert commit_updates(state(spark, ("B", "t", None, None)), root, writer="w", batch=1) == 1
+    assert names(read_state(spark, root)) == ["A", "B"]
+    left = len(os.listdir(f"{folder}/data"))
+    assert drop_old_versions(spark, root, keep=2, orphans_after=3600) == [] and len(os.listdir(f"{folder}/data")) == left
+    assert drop_old_versions(spark, root, keep=2, orphans_after=0) == [] and len(os.listdir(f"{folder}/data")) < left
+    assert not os.path.exists(f"{folder}/draft-0") and names(read_state(spark, root)) == ["A", "B"]
 
 
 def test_the_last_batch_of_a_writer_is_known_after_its_version_is_dropped(spark):
@@ -136,22 +218,18 @@ def test_the_last_batch_of_a_writer_is_known_after_its_version_is_dropped(spark)
     assert versions(spark, root) == [7, 8]
     assert [committed_batch(spark, root, "w", n) for n in range(4)] == [None, None, 2, None]
     assert [committed_batch(spark, root, "x/y", n) for n in (1, 2, 3)] == [None, 8, None]
-    assert len(glob.glob(f"{root.removeprefix('file:')}/*.writer")) == 3  # w's last, and those of the two versions
 
 
-def test_a_run_shuffles_the_state_once(spark):
-    from advertlode.plans.run import RunConfig, next_state
+def test_updates_of_a_run(spark):
+    from advertlode.plans.run import RunConfig, run_updates
 
     root = work_dir(spark, "state")
-    commit_state(state(spark, ("A", "t", None, None)), root)
-    known = read_state(spark, root)
     summaries = spark.createDataFrame([("A", "u", "x", 0), ("B", "u", "y", 1)], SUMMARY)
     fetched = spark.createDataFrame([("A", "f", 0), ("B", None, 1)], "listing_id string, detail_fingerprint string, seq long")
-    for advance, updated in (("always", "y"), ("on_success", None)):
-        after = next_state(known, summaries, fetched, RunConfig(run_ts="t2", state_root=root, advance=advance))
-        assert rows(after) == [("A", "t2", "x", "f"), ("B", "t2", updated, None)]
-        plan = after._jdf.queryExecution().sparkPlan().toString()
-        assert plan.count("Join") == 1
+    for n, (advance, updated) in enumerate((("always", "y"), ("on_success", None))):
+        new = run_updates(summaries, fetched, RunConfig(run_ts="t2", state_root=root, advance=advance))
+        assert commit_updates(new, f"{root}/{n}") == 0
+        assert rows(read_state(spark, f"{root}/{n}")) == [("A", "t2", "x", "f"), ("B", "t2", updated, None)]
 
 
 def test_hot_listing_is_reduced_before_the_shuffle(spark):
@@ -185,28 +263,3 @@ def test_hot_listing_is_split_in_lookups(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def test_one_version_one_writer(spark):
-    root = work_dir(spark, "state")
-    one = state(spark, ("A", "t", None, None))
-    assert commit_state(one, root, writer="w", batch=0) == 0
-    assert committed_batch(spark, root, "w", 0) == 0 and committed_batch(spark, root, "other", 0) is None
-    folder = root.removeprefix("file:")
-    with open(f"{folder}/version=000000000001.writer", "w") as file:
-        file.write("other/0")  # a writer that has begun version 1
-    with pytest.raises(ConcurrentWrite):
-        commit_state(one, root, writer="w", batch=1)
-    with open(f"{folder}/version=000000000001.writer", "w") as file:
-        file.write("w/1")  # an earlier attempt of our own
-    assert commit_state(one, root, writer="w", batch=1) == 1
-
-
-def test_versions_need_success_marks(spark):
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    try:
-        with pytest.raises(RuntimeError, match="_SUCCESS"):
-            commit_state(state(spark, ("A", "t", None, None)), work_dir(spark, "state"))
-    finally:
-        hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
