@@ -458,7 +458,7 @@ for _name, _same in (("sink_exploded_parquet", "advert_rows"), ("sink_exploded_c
                      ("stream_rows", "advert_rows"), ("sink_listings_parquet", "advert_listings"),
                      ("sink_listings_csv", "advert_listings"), ("state_commit", "state_upsert"),
                      ("state_buckets", "state_upsert"),
-                     ("stream_state", "state_upsert"), ("stream_versions", "state_upsert")):
+                     ("stream_state", "state_upsert"), ("stream_aggregate", "state_upsert"), ("stream_decisions", "candidates"), ("stream_versions", "state_upsert")):
     ORACLE[_name] = ORACLE[_same]
 
 # The streams add up to one batch, in any split; of repeated pages the newest is read, whichever way they are matched.

@@ -25,7 +25,7 @@ from ..session import work_dir
 from ..sources import sinks
 from ..sources.pages import read_pages
 from ..sources.state_table import commit_state, commit_updates, read_state
-from ..streaming.state_stream import incremental_writer, streaming_rows, streaming_state
+from ..streaming.state_stream import changes_writer, incremental_writer, state_changes, streaming_rows, streaming_state
 from . import inputs
 from .inputs import RUN_TS, table
 from .run import RunConfig, run, stage
@@ -474,6 +474,14 @@ def run_repeated_pages(spark, sf_dir):
 
 @query
 def stream_state(spark, sf_dir):
+    path = work_dir(spark, "stream")
+    writer = changes_writer(inputs.updates_of(inputs.stream_table(spark, sf_dir, "events")), f"{path}/state")
+    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return read_state(spark, f"{path}/state")
+
+
+@query
+def stream_aggregate(spark, sf_dir):
     events = inputs.stream_table(spark, sf_dir, "events")
     path = work_dir(spark, "stream")
     writer = streaming_state(inputs.updates_of(events)).writeStream.outputMode("complete").foreachBatch(
@@ -482,6 +490,19 @@ def stream_state(spark, sf_dir):
     return spark.read.schema(STATE).parquet(f"{path}/state")
 
 
+@query
+def stream_decisions(spark, sf_dir):
+    """Candidates of the later run from a stateful stream that starts from the state after the first."""
+    first, later = inputs.runs(spark, sf_dir)
+    path = work_dir(spark, "stream")
+    later.write.parquet(f"{path}/landing")
+    feed = state_changes(spark.readStream.schema(later.schema).parquet(f"{path}/landing"), initial=upsert(_empty_state(spark), first), decisions=True)
+    writer = feed.writeStream.outputMode("update").foreachBatch(
+        lambda batch, n: batch.where("kind = 'candidate'").write.mode("overwrite").parquet(f"{path}/decided/batch_id={n}"))
+    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/decided").select("listing_id", "reason", "seq")
+
+
 @query
 def stream_rows(spark, sf_dir):
     orders = inputs.stream_table(spark, sf_dir, "orders")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.html import DEFAULT_DETAIL, DetailSelectors
 from ..operators.details import code_rows, detail_fields, exploded_rows
 from ..operators.state import candidates, decide, latest_updates
+from ..schemas import STATE
 from ..sources.state_table import commit_updates, committed_batch, drop_old_versions, latest_version, read_state
 
 
@@ -21,6 +25,100 @@ def streaming_state(updates: DataFrame) -> DataFrame:
     return latest_updates(updates)
 
 
+_HELD = "last_seen_at string, updated_at string, updated_seq long, detail_fingerprint string, print_seq long"
+_CHANGE = ("listing_id string, kind string, seq long, reason string, last_seen_at string, updated_at string, "
+           "detail_fingerprint string")
+
+
+class _Listing(StatefulProcessor):
+    """Keeps one listing: its values, and the `seq` that the last `updated_at` and fingerprint came with."""
+
+    def __init__(self, decisions: bool):
+        self._decisions = decisions
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._held = handle.getValueState("listing", _HELD)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        row = initialState.iloc[0].astype(object).where(initialState.iloc[0].notna(), None)
+        self._held.update((row.last_seen_at, row.updated_at, None, row.detail_fingerprint, None))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = self._held.get()
+        seen, updated, updated_seq, printed, print_seq = now = tuple(before) if before else (None,) * 5
+        for part in rows:
+            if self._decisions and len(found := part.assign(kind="candidate", reason=_reasons(part, before)).dropna(subset="reason")):
+                yield found.reindex(columns=_CHANGES).astype(object).where(lambda d: d.notna(), None)
+            sighted = part["last_seen_at"].dropna()
+            seen = max([*([seen] if seen is not None else []), *([sighted.max()] if len(sighted) else [])], default=None)
+            updated, updated_seq = _later(part, "updated_at", updated, updated_seq)
+            printed, print_seq = _later(part, "detail_fingerprint", printed, print_seq)
+        after = (seen, updated, updated_seq, printed, print_seq)
+        if before is None or after != now:
+            self._held.update(after)
+        if before is None or (after[0], after[1], after[3]) != (now[0], now[1], now[3]):
+            yield pd.DataFrame([(key[0], "state", None, None, seen, updated, printed)], columns=_CHANGES)
+
+    def close(self) -> None:
+        pass
+
+
+_CHANGES = [field.split()[0] for field in _CHANGE.split(", ")]
+
+
+def _later(part: pd.DataFrame, name: str, value, seq):
+    """The last non-NULL value by seq, among the rows and the one held."""
+    known = part[part[name].notna()]
+    if len(known):
+        row = known.loc[known["seq"].idxmax()]
+        if seq is None or row["seq"] >= seq:
+            return row[name], int(row["seq"])
+    return value, seq
+
+
+def _reasons(part: pd.DataFrame, before) -> list[str | None]:
+    """As `decide`, against the values before this trigger."""
+    if before is None or before[3] is None:
+        return ["new" if before is None else "no_fingerprint"] * len(part)
+    return ["updated_at_changed" if isinstance(at, str) and at not in ("", before[1]) else None for at in part["updated_at"]]
+
+
+def state_changes(updates: DataFrame, *, initial: DataFrame | None = None, decisions: bool = False) -> DataFrame:
+    """The change feed of a stream of updates: `listing_id, kind, seq, reason, last_seen_at, updated_at, detail_fingerprint`.
+
+    Spark's state store keeps each listing's values. A trigger reads and writes those of its own listings, and gives one row of
+    kind `state`, with the whole new values, for each listing that it changed; rows that tell nothing new give none. The
+    order of arrival does not matter: greatest sighting, last value by `seq` (a long). With `decisions` every update that makes its
+    listing a candidate also gives a row of kind `candidate` with its `seq` and reason, against the values before the trigger.
+    `initial` has the rows of a state to start from; any update counts as later than these.
+    """
+    rows = updates.select("listing_id", "last_seen_at", "updated_at", "detail_fingerprint", F.col("seq").cast("long").alias("seq"))
+    start = initial.select(STATE.names).groupBy("listing_id") if initial is not None else None
+    return rows.groupBy("listing_id").transformWithStateInPandas(_Listing(decisions), _CHANGE, "Update", "None", initialState=start)
+
+
+def changes_writer(updates: DataFrame, state_root: str, *, name: str | None = None, keep: int = 10) -> DataStreamWriter:
+    """A writer that merges the changes of each trigger into the state table: a commit holds the changed listings only, and
+    rewrites their buckets. A trigger that is repeated after its commit is left out (see `incremental_writer`)."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        writer = _writer_name(spark, name)
+        if committed_batch(spark, state_root, writer, batch_id) is not None:
+            batch.write.format("noop").mode("overwrite").save()  # the stream's own state still has to advance
+            return
+        commit_updates(batch.where("kind = 'state'").select(STATE.names), state_root, writer=writer, batch=batch_id)
+        drop_old_versions(spark, state_root, keep)
+
+    return state_changes(updates).writeStream.outputMode("update").foreachBatch(merge)
+
+
+def _writer_name(spark, name: str | None) -> str:
+    writer = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not writer:
+        raise ValueError("the stream has no id here; give its writer a name that is its own")
+    return writer
+
+
 def streaming_rows(pages: DataFrame, *, selectors: DetailSelectors = DEFAULT_DETAIL) -> DataFrame:
     """Exploded rows of a stream of detail pages (`listing_id, source_url, scraped_at, html`); keeps no state."""
     stamped = pages.withColumnRenamed("scraped_at", "_scraped_at")
@@ -39,9 +137,7 @@ def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        writer = name or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not writer:
-            raise ValueError("the stream has no id here; give incremental_writer a name that is its own")
+        writer = _writer_name(spark, name)
         if committed_batch(spark, state_root, writer, batch_id) is not None:
             return
         batch = batch.persist()

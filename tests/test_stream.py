@@ -7,8 +7,8 @@ from advertlode.operators.state import candidates, decide, upsert
 from advertlode.plans import inputs
 from advertlode.schemas import STATE
 from advertlode.session import work_dir
-from advertlode.sources.state_table import commit_state, read_state, versions
-from advertlode.streaming.state_stream import incremental_writer, streaming_rows, streaming_state
+from advertlode.sources.state_table import commit_state, manifest, read_state, versions
+from advertlode.streaming.state_stream import changes_writer, incremental_writer, state_changes, streaming_rows, streaming_state
 
 from .conftest import SF
 
@@ -77,3 +77,67 @@ def test_streams_and_batches_on_one_state_lose_nothing(spark):
     play(spark, path, "in-1", "checkpoint-1")
     known, state, _ = play(spark, path, "in-2", "checkpoint-2")  # batch 0 again, of another stream
     assert known == [0, 1, 2] and state == rows(upsert(spark.createDataFrame([], STATE), updates))
+
+
+UPDATE = "listing_id string, last_seen_at string, updated_at string, detail_fingerprint string, seq long"
+
+
+def land(spark, path, n, *found):
+    spark.createDataFrame(list(found), UPDATE).write.parquet(f"{path}/in/drop={n}")
+
+
+def feed(spark, path, **options):
+    """The changes of one trigger over what has landed since the last."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    out = []
+    stream = spark.readStream.schema(_parse_datatype_string(UPDATE)).parquet(f"{path}/in/drop=*")
+    finish(state_changes(stream, **options).writeStream.outputMode("update").foreachBatch(lambda batch, _: out.extend(batch.collect())),
+           f"{path}/checkpoint")
+    return sorted((tuple(r) for r in out), key=repr)
+
+
+def test_the_feed_has_what_changed_and_nothing_else(spark):
+    path = work_dir(spark, "stream")
+    land(spark, path, 0, ("A", "t1", "u1", None, 1), ("B", "t1", "", "f1", 2), ("C", "t1", None, None, 3), ("A", "t2", None, "f2", 4))
+    assert feed(spark, path) == [("A", "state", None, None, "t2", "u1", "f2"), ("B", "state", None, None, "t1", "", "f1"),
+                                 ("C", "state", None, None, "t1", None, None)]
+    # An earlier sighting and an earlier value that come late, and a repeated row, change nothing.
+    land(spark, path, 1, ("A", "t0", "u0", "f0", 0), ("B", "t1", "", "f1", 2), ("C", "t1", "u9", None, 9), ("D", None, None, None, 10))
+    assert feed(spark, path) == [("C", "state", None, None, "t1", "u9", None), ("D", "state", None, None, None, None, None)]
+
+
+def test_decisions_against_an_initial_state(spark):
+    path = work_dir(spark, "stream")
+    held = spark.createDataFrame([("A", "t0", "u1", "f"), ("B", "t0", None, None)], STATE)
+    land(spark, path, 0, ("A", "t1", "u1", None, 1), ("A", "t1", "u2", None, 2), ("A", "t1", "", None, 3), ("B", "t1", "x", None, 4),
+         ("C", "t1", None, None, 5), ("C", "t1", None, None, 6))
+    found = [r[:4] for r in feed(spark, path, initial=held, decisions=True) if r[1] == "candidate"]
+    assert found == [("A", "candidate", 2, "updated_at_changed"), ("B", "candidate", 4, "no_fingerprint"), ("C", "candidate", 5, "new"),
+                     ("C", "candidate", 6, "new")]
+
+
+def test_changes_over_triggers_and_replays_equal_batch(spark):
+    path = work_dir(spark, "stream")
+    updates = inputs.updates(spark, SF).drop("first_run", "source_url")
+
+    def play():
+        stream = spark.readStream.schema(updates.schema).parquet(f"{path}/in/drop=*")
+        finish(changes_writer(stream, f"{path}/state"), f"{path}/checkpoint")
+        return rows(read_state(spark, f"{path}/state")), versions(spark, f"{path}/state")
+
+    for n, part in enumerate((updates.where("seq >= 500"), updates.where("seq < 500"))):  # the later half lands first
+        part.write.parquet(f"{path}/in/drop={n}")
+        found = play()
+    assert found == (rows(upsert(spark.createDataFrame([], STATE), updates)), [0, 1])
+    # The commit mark of the last trigger is lost, so it runs again, from the state before it.
+    folder = f"{path}/checkpoint/commits".removeprefix("file:")
+    for name in ("1", ".1.crc"):
+        os.remove(f"{folder}/{name}")
+    assert play() == found
+    # A trigger of one listing rewrites one bucket.
+    before = manifest(spark, f"{path}/state", 1).folders
+    updates.limit(1).selectExpr("'one' AS listing_id", "last_seen_at", "updated_at", "detail_fingerprint", "seq").write.parquet(f"{path}/in/drop=2")
+    play()
+    after = manifest(spark, f"{path}/state", 2).folders
+    assert sum(after[b] != before.get(b) for b in after) == 1
