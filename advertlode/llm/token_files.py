@@ -38,13 +38,15 @@ def in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.repartitionByRange(F.col("id"), tie).sortWithinPartitions("id", tie, "text")
 
 
-def _segment(ids: list[np.ndarray], doc_ids: list, lengths: list[int], shard: int, segment: int,
-             kind: pa.DataType) -> pa.RecordBatch:
-    flat = np.concatenate(ids)
+def _segment(parts: list[tuple[pa.Array, np.ndarray, np.ndarray]], shard: int, segment: int) -> pa.RecordBatch:
+    """The row of one segment from (ids of documents, their lengths, their tokens)."""
+    doc_ids = pa.concat_arrays([p[0] for p in parts])
+    lengths, flat = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
     table = Table.of(flat)
     blocks = [encode_block(flat[i:i + BLOCK], table) for i in range(0, len(flat), BLOCK)]
-    return pa.record_batch([pa.array([shard]), pa.array([segment]), pa.array([len(flat)]), pa.array([doc_ids], pa.list_(kind)),
-                            pa.array([lengths], pa.list_(pa.int64())), pa.array([table.dump()], pa.binary()),
+    whole = pa.array([0, len(doc_ids)], pa.int32())
+    return pa.record_batch([pa.array([shard]), pa.array([segment]), pa.array([len(flat)]), pa.ListArray.from_arrays(whole, doc_ids),
+                            pa.ListArray.from_arrays(whole, pa.array(lengths)), pa.array([table.dump()], pa.binary()),
                             pa.array([blocks], pa.list_(pa.binary()))],
                            ["shard", "segment", "n_tokens", "doc_ids", "lengths", "table", "blocks"])
 
@@ -52,26 +54,25 @@ def _segment(ids: list[np.ndarray], doc_ids: list, lengths: list[int], shard: in
 def _encoded(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, shard, segment = encoder(path), TaskContext.get().partitionId(), 0
-        ids: list[np.ndarray] = []
-        doc_ids: list = []
-        lengths: list[int] = []
+        parts: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
         held = 0
-        kind = pa.int64()
         for batch in batches:
-            kind = batch.column(0).type
             for row, texts in text_slices(batch.column(1)):
                 flat, counts = tokens.encode(texts)
-                at = 0
-                for i, n in enumerate(counts.tolist()):
-                    ids += [flat[at:at + n], np.asarray([end], np.uint32)]
-                    doc_ids.append(batch.column(0)[row + i].as_py())
-                    lengths.append(n + 1)
-                    held, at = held + n + 1, at + n
+                flat = np.insert(flat, np.cumsum(counts), np.uint32(end))  # an end after each document
+                until = np.concatenate(([0], np.cumsum(counts + 1)))
+                begin = 0
+                while begin < len(counts):
+                    # Up to and with the document that fills the segment.
+                    to = min(len(counts), int(np.searchsorted(until, until[begin] + SEGMENT - held)))
+                    parts.append((batch.column(0).slice(row + begin, to - begin), np.diff(until[begin:to + 1]), flat[until[begin]:until[to]]))
+                    held += int(until[to] - until[begin])
+                    begin = to
                     if held >= SEGMENT:
-                        yield _segment(ids, doc_ids, lengths, shard, segment, kind)
-                        ids, doc_ids, lengths, held, segment = [], [], [], 0, segment + 1
+                        yield _segment(parts, shard, segment)
+                        parts, held, segment = [], 0, segment + 1
         if held:
-            yield _segment(ids, doc_ids, lengths, shard, segment, kind)
+            yield _segment(parts, shard, segment)
     return run
 
 
