@@ -1,12 +1,16 @@
 """Fingerprints that follow the edit distance: Order MinHash.
 
-A text's K-byte strings are numbered by their occurrence, so that repeats count. Each of SKETCHES hash functions selects the
-SELECTED least of them; these are put back into text order and hashed as one tuple. Texts that keep most of their strings in the same order agree in most
-tuples. The share p of tuples that agree estimates j**SELECTED for the weighted overlap j, and `likeness` gives
-2j / (1 + j), the share of the strings that both texts have, which falls with the edit distance.
+A text's k-byte strings are numbered by their occurrence, so that repeats count, and each has a value: the hash of the string for its
+first occurrence, a hash of that and the number for later ones. A hash function is a point on the circle of values, and selects
+the SELECTED values that follow it; so one sort of a text's values serves all functions. The selected strings are put back
+into text order and hashed as one tuple. Texts that keep most of their strings in the same order agree in most tuples. The share
+p of tuples that agree estimates j**SELECTED for the weighted overlap j, and 2j / (1 + j) is the share of the strings that both
+texts have, which falls with the edit distance.
 
-Equal texts have equal fingerprints. Texts of fewer than SHORT bytes, which have few strings of K, take strings of K_SHORT; a
-text shorter than that is one string, and an empty one has an empty fingerprint.
+Every text takes part with two kinds of strings whatever its length: long ones, which tell texts of one language apart,
+and short ones, by which even a few words have many. `likeness` is the mean of both kinds, each by its number of functions.
+
+Equal texts have equal fingerprints. A text shorter than a kind's strings is one string, and an empty one has an empty fingerprint.
 """
 
 from __future__ import annotations
@@ -25,90 +29,88 @@ from .tables import staged
 from .token_files import text_slices
 from .words import BYTE_VALUES, buffers, mix, power_tables
 
-K, SKETCHES, SELECTED = 8, 64, 2
-K_SHORT, SHORT = 3, 48
-#: Strings of a text that lie below the first limit on average; a text with fewer than SELECTED there is looked at whole.
-_EXPECTED = 8
-_PLACES = 24  # bits for a place in a text; longer texts are sorted another way
-
-_FACTORS = np.random.default_rng(41).integers(1, 1 << 31, SKETCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_OFFSETS = np.random.default_rng(42).integers(0, 1 << 32, SKETCHES, dtype=np.uint32)
+#: Bytes of the strings of each kind, and its hash functions.
+KINDS = ((8, 48), (3, 16))
+SKETCHES, SELECTED = sum(n for _, n in KINDS), 2
+_PLACES = 24  # low bits for a place in a text, the others for its value; longer texts have values of their own length
+_PLACE = np.uint64((1 << _PLACES) - 1)
+#: Where each function's point lies.
+POINTS = np.random.default_rng(41).integers(0, 1 << 40, SKETCHES, dtype=np.uint64) << np.uint64(_PLACES)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _occurrences(strings: np.ndarray) -> np.ndarray:
-    """How often each string came before its place."""
+def _in_order(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values (40 bits) of a text's occurrence-numbered strings, ascending, and their places in the text."""
     n = len(strings)
     if n < 1 << _PLACES:
-        key = np.sort((strings & ~np.uint64((1 << _PLACES) - 1)) | np.arange(n, dtype=np.uint64))
-        place, key = (key & np.uint64((1 << _PLACES) - 1)).astype(np.int64), key >> np.uint64(_PLACES)
+        key = np.sort((strings & ~_PLACE) | np.arange(n, dtype=np.uint64))
+        value, place = key & ~_PLACE, (key & _PLACE).astype(np.int64)
     else:
-        place = np.argsort(strings, kind="stable")
-        key = strings[place]
-    new = np.concatenate(([True], key[1:] != key[:-1]))
-    first = np.flatnonzero(new)
-    out = np.empty(n, np.uint64)
-    out[place] = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    return out
-
-
-def _numbered(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit value for every occurrence-numbered string of each text, and where each text's begin."""
+        value = strings & ~_PLACE
+        place = np.argsort(value, kind="stable")
+        value = value[place]
+    new = np.ones(n, bool)
+    new[1:] = value[1:] != value[:-1]
+    again = np.flatnonzero(~new)
+    if len(again):
+        # Later occurrences go where their own values belong; first ones are in order as they are.
+        first = np.flatnonzero(new)
+        number = (again - first[np.searchsorted(first, again) - 1]).astype(np.uint64)
+        later, later_place = mix(value[again] + number * _STEP) & ~_PLACE, place[again]
+        order = np.lexsort((later_place, later))
+        later, later_place = later[order], later_place[order]
+        value, place = value[new], place[new]
+        at = np.searchsorted(value, later)
+        value, place = np.insert(value, at, later), np.insert(place, at, later_place)
+    return value, place
+
+
+def _strings(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every k-byte string of each text, and where each text's begin."""
     power, inverse = power_tables(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUES[data] * power[:len(data)], out=sums[1:])
     size = np.diff(at)
-    k = np.where(size >= SHORT, K, K_SHORT)
     made = np.where(size >= k, size - k + 1, np.minimum(size, 1))
     first = np.concatenate(([0], np.cumsum(made)))
     start = np.repeat(at[:-1] - first[:-1], made) + np.arange(first[-1])
-    end = np.minimum(start + np.repeat(k, made), np.repeat(at[1:], made))
-    strings = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
-    number = np.zeros(len(strings), np.uint64)
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        if b - a > 1:
-            number[a:b] = _occurrences(strings[a:b])
-    return mix(strings + number * np.uint64(0x9E3779B97F4A7C15)), first
+    end = np.minimum(start + k, np.repeat(at[1:], made))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64)), first
+
+
+def _kind(data: np.ndarray, at: np.ndarray, k: int, points: np.ndarray) -> np.ndarray:
+    """The tuples of one kind of strings."""
+    strings, first = _strings(data, at, k)
+    texts = len(first) - 1
+    chosen = np.zeros((texts, len(points), SELECTED), np.uint64)
+    where = np.full((texts, len(points), SELECTED), -1)
+    for t in np.flatnonzero(np.diff(first)).tolist():
+        value, place = _in_order(strings[first[t]:first[t + 1]])
+        many = min(SELECTED, len(value))
+        follows = (np.searchsorted(value, points)[:, None] + np.arange(many)) % len(value)
+        chosen[t, :, :many], where[t, :, :many] = value[follows], place[follows]
+    chosen = np.take_along_axis(chosen, np.argsort(where, axis=2, kind="stable"), 2)
+    told = np.zeros(chosen.shape[:2], np.uint64)
+    for s in range(SELECTED):
+        told = mix(told * _STEP + chosen[:, :, s] + np.uint64(1))
+    return (told >> np.uint64(48)).astype(np.uint16)
 
 
 def fingerprints(texts: pa.Array) -> np.ndarray:
     """SKETCHES numbers of 16 bits for each text; those of an empty text mean nothing."""
     data, at = buffers(texts)
     data, at = data[at[0]:at[-1]], at - at[0]
-    values, first = _numbered(data, at)
-    counts = np.diff(first)
-    out = np.zeros((len(counts), SKETCHES), np.uint16)
-    full = np.flatnonzero(counts)
-    short = (values >> np.uint64(32)).astype(np.uint32)
-    limit = np.repeat(np.minimum(_EXPECTED / np.maximum(counts, 1) * 2.0 ** 32, 2.0 ** 32 - 1).astype(np.uint32), counts)
-    ends = first[1:]
-    for j in range(SKETCHES if len(full) else 0):
-        drawn = short * _FACTORS[j] + _OFFSETS[j]
-        low = np.flatnonzero(drawn <= limit)
-        owner = np.searchsorted(ends, low, "right")
-        enough = np.bincount(owner, minlength=len(counts)) >= np.minimum(counts, SELECTED)
-        missing = np.flatnonzero(~enough)
-        if len(missing):  # too few of these texts' strings are low: take all
-            more = np.concatenate([np.arange(first[i], first[i + 1]) for i in missing])
-            low = np.concatenate([low[enough[owner]], more])
-            owner = np.searchsorted(ends, low, "right")
-        # The least of each text; among equals the earlier.
-        order = np.argsort((owner.astype(np.uint64) << np.uint64(32)) | drawn[low], kind="stable")
-        low, owner = low[order], owner[order]
-        begin = np.searchsorted(owner, full)
-        chosen = np.stack([low[np.minimum(begin + k, len(low) - 1)] for k in range(SELECTED)])
-        chosen = np.where(np.arange(SELECTED)[:, None] < counts[full], chosen, -1)
-        chosen.sort(axis=0)
-        told = np.zeros(len(full), np.uint64)
-        for row in chosen:
-            told = mix(told * np.uint64(0x9E3779B97F4A7C15) + np.where(row >= 0, values[row], np.uint64(1)))
-        out[full, j] = (told >> np.uint64(48)).astype(np.uint16)
-    return out
+    ends = np.cumsum([n for _, n in KINDS])
+    return np.concatenate([_kind(data, at, k, POINTS[end - n:end]) for (k, n), end in zip(KINDS, ends)], axis=1)
 
 
 def likeness(one: np.ndarray, other: np.ndarray, one_empty: np.ndarray, other_empty: np.ndarray) -> np.ndarray:
     """0 to 1 for rows of fingerprints; two empty texts are alike, an empty one and another are not."""
-    overlap = (one == other).mean(1) ** (1 / SELECTED)
-    return np.where(one_empty | other_empty, (one_empty & other_empty).astype(float), 2 * overlap / (1 + overlap))
+    total, end = 0.0, 0
+    for _, n in KINDS:
+        overlap = (one[:, end:end + n] == other[:, end:end + n]).mean(1) ** (1 / SELECTED)
+        total, end = total + n * 2 * overlap / (1 + overlap), end + n
+    return np.where(one_empty | other_empty, (one_empty & other_empty).astype(float), total / SKETCHES)
 
 
 def edited(text: str, follower: str) -> str:

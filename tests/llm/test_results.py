@@ -19,7 +19,7 @@ from advertlode.llm import bisectors, cube, order_minhash, path_ratios, periodic
 from advertlode.llm.queries import QUERIES, SQL
 from advertlode.llm.stages import tokenizer_path
 from advertlode.llm.tokens import Encoder
-from advertlode.llm.words import find_words, shingle_hashes, slices
+from advertlode.llm.words import _BASE, BYTE_VALUES, find_words, shingle_hashes, slices
 
 from ..conftest import SF
 
@@ -592,3 +592,54 @@ def test_recompressed_runs(spark, docs):
             len(runs), *(top or (None,) * 3), top and 1000 * top[1] // top[2])
         assert row.runs_sha256 == hashlib.sha256("".join(f"{s},{m},{p}\n" for s, m, p in runs).encode()).hexdigest()
         assert row.collapsed_sha256 == hashlib.sha256(" ".join(w for k, w in enumerate(own) if k not in dropped).encode()).hexdigest()
+
+
+def plain_fingerprint(text):
+    """Order MinHash by its definition: number the strings, sort all by value for each function, take those that follow its
+    point, put them into text order, hash."""
+    wide, raw = (1 << 64) - 1, text.encode()
+
+    def mixed(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & wide
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & wide
+        return x ^ x >> 31
+
+    def value(string):
+        return mixed(sum(int(BYTE_VALUES[b]) * pow(int(_BASE), i, 1 << 64) for i, b in enumerate(string)) + len(string) & wide) >> 24
+
+    out, point = [], iter(order_minhash.POINTS.tolist())
+    for k, functions in order_minhash.KINDS:
+        values, seen = [], Counter()
+        for place, string in enumerate([raw[i:i + k] for i in range(max(len(raw) - k + 1, 1))]):
+            own = value(string)
+            values.append((mixed((own << 24) + seen[own] * 0x9E3779B97F4A7C15 & wide) >> 24 if seen[own] else own, place))
+            seen[own] += 1
+        values.sort()
+        for _ in range(functions):
+            at = next(point) >> 24
+            begin = next((i for i, v in enumerate(values) if v[0] >= at), 0)
+            chosen = [values[(begin + i) % len(values)] for i in range(min(2, len(values)))]
+            told = 0
+            for own, _ in [*sorted(chosen, key=lambda v: v[1]), (0, 0)][:2] if len(chosen) == 2 else [(0, -1), *chosen]:
+                told = mixed((told * 0x9E3779B97F4A7C15 & wide) + (own << 24) + 1 & wide)
+            out.append(told >> 48)
+    return out
+
+
+@pytest.mark.parametrize("text", ["a", "ab", "abc", "abcdefgh", "aaaaaaaaaaaaaaaaaaaa", "en to tre fire en to tre fire en to tre", "æøå 日本 " * 9,
+                                  " ".join(f"ord{i % 37}" for i in range(150))])
+def test_fingerprints_by_definition(text):
+    found = order_minhash.fingerprints(pa.array(["noe annet", text, "", "mer"]))
+    assert found[1].tolist() == plain_fingerprint(text)
+
+
+def test_likeness_has_no_step_at_any_length():
+    """A text with and without its last character, at every length."""
+    rng = random.Random(12)
+    for _ in range(20):
+        text = "".join(rng.choices("abcdefghij klmnop", k=140))
+        prints = order_minhash.fingerprints(pa.array([text[:n] for n in range(1, 140)]))
+        near = order_minhash.likeness(prints[:-1], prints[1:], *[np.zeros(138, bool)] * 2)
+        assert near[12:].min() > 0.5 and near[40:].min() > 0.75 and near.max() <= 1
