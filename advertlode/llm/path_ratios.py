@@ -1,14 +1,19 @@
 """Main text of web pages by tag-path ratios.
 
 A page's text falls into blocks at the tags of block elements. A block's path is the chain of block elements above it,
-with their classes. The ratios decide between regions, and every block of a region that is content is kept, however short:
-an article or main element is a region, and so is each container in which the rest of the page parts. Text length outside
-links and punctuation per block of a path are smoothed over neighbouring blocks, the more the longer the stretch of path they
-share, and the sum of their logarithms is the path's score. Containers whose best path reaches LEAST of the page's best one, or
-that hold an h1, are content. The rest as a whole and the articles, by path and as a mean of those that share one, are
-content if they have OTHER of the text of the largest of them.
-Elements that say what they are (nav, footer, forms, scripts, class "comments", role "banner") are never content. A class says
-so as a whole ("side", not "side-effects"); outside articles a container's classes and ids also if all their words do ("cookie-notice").
+with their classes. The ratios decide between regions, and every block of a region that is content is kept, however short.
+
+A path's ratios are its text length outside links and its punctuation per block, smoothed over neighbouring blocks, the more the
+longer the stretch of path they share. The sum of their logarithms is the path's score; a path through an element that says
+it is something else (nav, footer, class "comments", "user-comments", role "banner") keeps SIGNED of it. Such an element is a region. So are an
+article or main element, in these a container whose text is nearly all links, and each container in which the rest of the page
+parts. A region has the score of its best path times its share of text outside links, and is content if that reaches
+LEAST of the best one without a sign, or, outside articles, if it holds an h1. The rest as a whole, and articles with links for a part
+of their text, as teasers have, are content only if they have OTHER of the text of the largest article or rest.
+
+A class is a sign as a whole ("side", not "side-effects"). A container's classes, outside articles its ids too, are also signs if their last
+part is ("user-comments"), if all their parts are signs, places or names of elements ("cookie-notice", "share-buttons"), or if a
+part names adverts; but not if the container holds an h1. Scripts, forms, hidden elements and the like are never content.
 
 Markup is read once, left to right, in time linear in the page, whatever is unclosed or misnested: the open elements are a
 stack with a count per name, so an end tag without a start is ignored at once, and every element is popped once.
@@ -21,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,9 +34,12 @@ from pyspark.sql import functions as F
 
 #: Share of the best path's score from which on a path is content; how many blocks smoothing looks ahead and back.
 LEAST, REACH = 0.04, 3
-#: Share of the largest region's characters from which on the rest of the page, or another article, is content beside it.
-OTHER = 0.15
-#: Open elements that a path remembers; deeper ones count as these.
+#: What a path through an element with a sign keeps of its score.
+SIGNED = 0.005
+#: Share of the largest region's characters from which on the rest of the page, or a teaser, is content beside it; the share of
+#: its text in links that makes an article a teaser, and the one that makes a container within an article a list of links.
+OTHER, TEASER, LINKED = 0.15, 0.2, 0.8
+#: Open elements that a path remembers; deeper ones count as these, but for the first with a sign.
 DEEPEST = 48
 
 # Elements by their role in HTML.
@@ -39,8 +48,9 @@ _RAW = frozenset("script style textarea title noscript iframe xmp noembed nofram
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre section select
     summary table tbody td template tfoot th thead tr ul video audio canvas object svg math button label""".split())
-_NEVER = frozenset("""nav aside footer form script style noscript iframe template select button textarea dialog menu head title
+_NEVER = frozenset("""form script style noscript iframe template select button textarea dialog head title
     object svg math canvas video audio fieldset label option xmp noembed noframes""".split())
+_FURNITURE = frozenset("nav aside footer menu".split())
 _CLOSES_P = _BLOCK - frozenset("option optgroup button label svg math canvas video audio object".split())
 _ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
          "option": ("option",), "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
@@ -64,42 +74,75 @@ _LETTERS = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
-def _sign(word: str, parted: bool) -> bool:
-    """Whether a class or id is a sign, or, if `parted`, is made of nothing but signs and places."""
-    if word in _SIGNS or not parted:
-        return word in _SIGNS
+def _element_name(word: str) -> bool:
+    return word in _BLOCK or word in _VOID or word.removesuffix("s") in _BLOCK or word.removesuffix("s") in _VOID
+
+
+def _is_sign(word: str, in_article: bool) -> bool:
+    return word in _SIGNS and not (in_article and word == "header")
+
+
+def _compound_sign(word: str, in_article: bool) -> bool:
+    """Whether a class or id of several words says that its element is something else."""
     parts = _LETTERS.findall(word)
-    return any(x in _SIGNS for x in parts) and all(x in _SIGNS or x in _PLACES for x in parts)
+    if len(parts) < 2:
+        return False
+    signs = [_is_sign(x, in_article) for x in parts]
+    return any(signs) and (signs[-1] or any(x.startswith("ad") for x, sign in zip(parts, signs) if sign)
+                           or all(sign or x in _PLACES or _element_name(x) for x, sign in zip(parts, signs)))
 
 
-def _sort(name: str, attributes: str, in_article: bool) -> tuple[str, bool]:
-    """What an element is called in a path, and whether it can hold content."""
-    never = name in _NEVER or (name == "header" and not in_article)
+def _sort(name: str, attributes: str, in_article: bool) -> tuple[str, bool, str]:
+    """What an element is called in a path, whether it can hold content, and its sign: "!", "?" for one by a compound, or none."""
+    never = name in _NEVER
+    sign = name in _FURNITURE or (name == "header" and not in_article)
+    compound = False
     if not attributes or attributes.isspace():
-        return name, never
+        return name, never, "!" if sign else ""
     words: list[str] = []
-    names: list[str] = []
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         key = key.lower()
         if key == "role":
-            never |= value.strip() in _ROLES
+            sign |= value.strip() in _ROLES
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
             never |= key == "aria-hidden" or value != "until-found"
         else:
             words += value.split()
+            if name in ("html", "body", "article", "main"):
+                continue
             if key == "class" or name in _HOLDERS:
-                names += value.split()
-    if name not in ("html", "body", "article", "main"):
-        never |= any(_sign(word, name in _HOLDERS and not in_article) for word in names)
-    return ".".join((name, *words[:3])), never
+                sign |= any(_is_sign(w, in_article) for w in value.split())
+            if name in _HOLDERS and (key == "class" or not in_article):
+                compound |= any(_compound_sign(w, in_article) for w in value.split())
+    return ".".join((name, *words[:3])), never, "!" if sign else "?" if compound else ""
+
+
+@dataclass(frozen=True)
+class Block:
+    """A text with its path, its characters inside links, the outermost article or main element that holds it (its place in
+    the path from 1, or 0 without one, and its number), the numbers of the containers within that, and its sign: where in the path
+    the first element with one stands (from 1, 0 without one) and its kind."""
+
+    path: tuple[str, ...]
+    text: str
+    linked: int
+    article: tuple[int, int] = (0, 0)
+    holders: tuple[int, ...] = ()
+    sign: tuple[int, str] = (0, "")
 
+    @property
+    def plain(self) -> int:
+        return len(self.text) - self.linked
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, int]]]:
-    """(path, text, characters inside links, article) of every block that may be content, in page order. The article is the
-    outermost article or main element that holds the block: its place in the path from 1, or 0 without one, and its number."""
-    out: list[tuple[tuple[str, ...], str, int, tuple[int, int]]] = []
+
+def blocks(page: str) -> list[Block]:
+    """Every block that may be content, in page order."""
+    out: list[Block] = []
     stack: list[tuple[str, str, bool]] = []  # name, name in paths, never content
+    signs: list[tuple[int, str]] = []  # elements with one: their places in the stack, from 1, and kinds
+    holders: list[tuple[int, int]] = []  # containers within an article: their places and numbers
+    numbered = 0
     count: Counter[str] = Counter()
     barred = links = articles = 0
     article = (0, 0)
@@ -112,12 +155,20 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, int]]]
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                out.append((tuple(s[1] for s in stack[:DEEPEST]), joined, min(linked, len(joined)), article if articles else (0, 0)))
+                path, sign = tuple(s[1] for s in stack[:DEEPEST]), signs[0] if signs else (0, "")
+                if sign[0] > DEEPEST:
+                    path, sign = (*path, stack[sign[0] - 1][1]), (DEEPEST + 1, sign[1])
+                out.append(Block(path, joined, min(linked, len(joined)), article if articles else (0, 0),
+                                 tuple(h[1] for h in holders[:DEEPEST]), sign))
             text.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal barred, articles
+        if signs and signs[-1][0] == len(stack):
+            signs.pop()
+        if holders and holders[-1][0] == len(stack):
+            holders.pop()
         name, _, never = stack.pop()
         count[name] -= 1
         barred -= never
@@ -196,8 +247,13 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, int]]]
             scope = _SCOPE.get(name, ("table",))
             while stack and stack[-1][0] not in scope and any(count[x] for x in _ENDS[name]):
                 pop()
-        label, never = _sort(name, attributes, articles > 0)
+        label, never, sign = _sort(name, attributes, articles > 0)
         stack.append((name, label, never))
+        if sign:
+            signs.append((len(stack), sign))
+        if articles and name in _PARTS and name not in ("article", "main"):
+            numbered += 1
+            holders.append((len(stack), numbered))
         count[name] += 1
         barred += never
         if name in ("article", "main"):
@@ -219,16 +275,19 @@ def _shared(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     return n / max(len(a), len(b), 1)
 
 
-def _scores(found: list[tuple[tuple[str, ...], str, int, tuple[int, int]]]) -> dict[tuple[str, ...], float]:
+def _scores(found: list[Block]) -> dict[tuple[str, ...], float]:
     """The score of every path: logarithms, so that one very long block does not outweigh all lists and tables."""
     size: Counter = Counter()
     marks: Counter = Counter()
     nodes: Counter = Counter()
-    for path, text, linked, _ in found:
-        size[path] += len(text) - linked
-        marks[path] += len(_MARKS.findall(text)) * (len(text) - linked) / len(text)
-        nodes[path] += 1
-    paths = [b[0] for b in found]
+    signed = set()
+    for b in found:
+        size[b.path] += b.plain
+        marks[b.path] += len(_MARKS.findall(b.text)) * b.plain / len(b.text)
+        nodes[b.path] += 1
+        if b.sign[0]:
+            signed.add(b.path)
+    paths = [b.path for b in found]
     length = {p: size[p] / nodes[p] for p in nodes}
     points = {p: marks[p] / nodes[p] for p in nodes}
     smooth_l: Counter = Counter()
@@ -244,7 +303,7 @@ def _scores(found: list[tuple[tuple[str, ...], str, int, tuple[int, int]]]) -> d
         weight = weight or 1.0
         smooth_l[path] += sum_l / weight / nodes[path]
         smooth_p[path] += sum_p / weight / nodes[path]
-    return {p: math.log1p(smooth_l[p]) + math.log1p(smooth_p[p]) for p in nodes}
+    return {p: (math.log1p(smooth_l[p]) + math.log1p(smooth_p[p])) * (SIGNED if p in signed else 1.0) for p in nodes}
 
 
 def _containers(paths: set[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[str, ...]]:
@@ -256,30 +315,63 @@ def _containers(paths: set[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[str,
     return {p: p[:n + 1] if len(p) > n and p[n].partition(".")[0] in _PARTS else p[:n] for p in paths}
 
 
-def content(found: list[tuple[tuple[str, ...], str, int, tuple[int, int]]]) -> list[str]:
+def _titled(path: tuple[str, ...]) -> bool:
+    return any(x == "h1" or x.startswith("h1.") for x in path)
+
+
+def _without_titled_signs(found: list[Block]) -> list[Block]:
+    """A sign by a compound ("page-header") says nothing about an element that holds an h1."""
+    titled = {b.path[:b.sign[0]] for b in found if b.sign[1] == "?" and _titled(b.path[b.sign[0]:])}
+    return [replace(b, sign=(0, "")) if b.sign[1] == "?" and b.path[:b.sign[0]] in titled else b for b in found] if titled else found
+
+
+def _regions(found: list[Block]) -> list[tuple]:
+    """The region of each block: (kind, what tells it from others of the kind)."""
+    text: Counter = Counter()
+    linked: Counter = Counter()
+    for b in found:
+        for h in b.holders:
+            text[h] += len(b.text)
+            linked[h] += b.linked
+    rest = {b.path for b in found if not b.sign[0] and not b.article[0]}
+    container = _containers(rest) if rest else {}
+    out: list[tuple] = []
+    for b in found:
+        if b.sign[0]:
+            out.append(("sign", b.path[:b.sign[0]]))
+        elif b.article[0]:
+            links = next((h for h in b.holders if linked[h] >= LINKED * text[h]), None)
+            out.append(("article", b.path[:b.article[0]]) if links is None else ("links", links))
+        else:
+            out.append(("rest", container[b.path]))
+    return out
+
+
+def content(found: list[Block]) -> list[str]:
     """The texts of the blocks whose region is content."""
-    regions: list[tuple[bool, tuple[str, ...]] | None] = [(True, path[:at]) if at else None for path, _, _, (at, _) in found]
-    outside = [b for b, region in zip(found, regions) if region is None]
-    if outside:
-        scores = _scores(outside)
-        container = _containers(set(scores))
-        best: dict[tuple[str, ...], float] = {}
-        for path, score in scores.items():
-            best[container[path]] = max(score, best.get(container[path], 0.0))
-        least = min(LEAST * max(best.values()), 0.5)  # at most about a character a block, however long the best path's are
-        titled = {container[path] for path in scores if any(x == "h1" or x.startswith("h1.") for x in path)}
-        for i, (path, *_) in enumerate(found):
-            if regions[i] is None and (best[container[path]] >= least or container[path] in titled):
-                regions[i] = (False, ())
+    found = _without_titled_signs(found)
+    regions, scores = _regions(found), _scores(found)
+    best: dict[tuple, float] = {}
     size: Counter = Counter()
-    elements: dict[tuple[bool, tuple[str, ...]], set[int]] = {}
-    for (_, text, linked, (_, number)), region in zip(found, regions):
-        if region is not None:
-            size[region] += len(text) - linked
-            elements.setdefault(region, set()).add(number)
-    mean = {region: size[region] / len(numbers) for region, numbers in elements.items()}
-    least = OTHER * max(mean.values(), default=0.0)
-    return [text for (_, text, *_), region in zip(found, regions) if region is not None and mean[region] >= least]
+    plain: Counter = Counter()
+    numbers: dict[tuple, set[int]] = {}
+    for b, region in zip(found, regions):
+        best[region] = max(scores[b.path], best.get(region, 0.0))
+        size[region] += len(b.text)
+        plain[region] += b.plain
+        numbers.setdefault(region, set()).add(b.article[1])
+    score = {r: best[r] * plain[r] / size[r] for r in best}
+    # At most about a character a block, however long the best path's are.
+    least = min(LEAST * max((score[r] for r in score if r[0] != "sign"), default=math.inf), 0.5)
+    titled = {r for b, r in zip(found, regions) if r[0] == "rest" and _titled(b.path)}
+    kept = {r for r in score if (score[r] >= least and score[r] > 0) or r in titled}
+    # Articles of one path count by their mean, the rest as a whole.
+    rest = sum(plain[r] for r in kept if r[0] == "rest")
+    mean = {r: plain[r] / len(numbers[r]) for r in kept if r[0] == "article"}
+    most = max([rest, *mean.values()], default=0)
+    kept -= {r for r in kept if r[0] == "rest" and rest < OTHER * most}
+    kept -= {r for r in mean if mean[r] < OTHER * most and size[r] - plain[r] >= TEASER * size[r]}
+    return [b.text for b, region in zip(found, regions) if region in kept]
 
 
 def main_text(page: str | None) -> str:
