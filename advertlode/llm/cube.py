@@ -9,7 +9,9 @@ would hardly move and be left for the end. Each block leaves two documents undec
 together, until a source is one block; its last two give up the count, then the last one is rounded. A source's words so
 miss their target by half of one of its smaller documents.
 
-Equal rows (id, source, size and text's hash) share one decision, made for all of them together.
+Equal rows (id, source, size and text's hash) are one unit of `times` rows: floor(times * rate) copies are certain and one more is
+drawn, so a unit misses its share by less than one copy, however often its row is repeated. The rows of a unit get equal
+numbers of its copies, some one more than others.
 """
 
 from __future__ import annotations
@@ -136,9 +138,10 @@ def _flown(last: bool, seed: int):
 
 
 def copies(units: DataFrame, *, seed: int = 5) -> DataFrame:
-    """`units` (source, size, turn, tie, times, rate) with `copies` of each. `turn` orders the units at random."""
-    rows = units.withColumn("weight", (F.col("size") * F.col("times")).cast("double")).withColumn(
-        "chance", F.col("rate") - F.floor("rate"))
+    """`units` (source, size, turn, tie, times, rate) with the `copies` that the rows of each have together. `turn` orders the
+    units at random."""
+    share = F.col("rate") * F.col("times")
+    rows = units.withColumn("weight", F.col("size").cast("double")).withColumn("sure", F.floor(share)).withColumn("chance", share - F.col("sure"))
     open_ = (F.col("chance") > _SURE) & (F.col("chance") < 1 - _SURE)
     done, rows = rows.where(~open_), rows.where(open_)
     level = 0
@@ -157,12 +160,12 @@ def copies(units: DataFrame, *, seed: int = 5) -> DataFrame:
         done = done.unionByName(flown.where(~open_))
         rows = flown.where(open_)
         level += 1
-    return done.unionByName(flown).withColumn("copies", (F.floor("rate") + F.round("chance")).cast("int")).drop("weight", "chance")
+    return done.unionByName(flown).withColumn("copies", (F.col("sure") + F.round("chance")).cast("long")).drop("weight", "chance", "sure")
 
 
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """`doc_id, source, hash, size, source_size, target, times, copies`: one row for each distinct (id, source, text) of
-    `docs`, `times` it occurs, and how often each of them appears in the mix. Null texts have size 0; null sources are a
+    `docs`, `times` it occurs, and how often these rows together appear in the mix. Null texts have size 0; null sources are a
     source. A document of size 0 appears as often as its source's rate says; a source without words not at all."""
     rows = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("hash"),
                               word_count(F.col(text_col)).alias("size")).groupBy("doc_id", "source", "hash", "size").agg(
@@ -174,11 +177,34 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source"
     return copies(units).drop("turn", "tie", "rate")
 
 
+def own_copies(copies: Column, times: Column, number: Column) -> Column:
+    """The copies that row `number`, from 1 on, of the `times` rows of a unit gets."""
+    return (F.floor(copies / times) + F.when(number <= copies % times, 1).otherwise(0)).cast("int")
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The mix itself: each row of `docs` as often as it appears."""
-    own_id, own_source, own_hash, often, copy = fresh(docs, "_id", "_source", "_hash", "_copies", "_copy")
+    """The mix itself: each row of `docs` as often as it appears.
+
+    Repeated rows are staged with the partition they lie in and numbered within it, so that no window holds more of them than
+    one partition does. Which rows of one id, source and text get one copy more than the others depends on where they lie.
+    """
+    own_id, own_source, own_hash, often, times, copy, part, number, ahead, n = fresh(
+        docs, "_id", "_source", "_hash", "_copies", "_times", "_copy", "_part", "_number", "_ahead", "_n")
     chosen = mixed(docs, id_col=id_col, source_col=source_col, text_col=text_col).where("copies > 0").select(
-        F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("hash").alias(own_hash), F.col("copies").alias(often))
+        F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("hash").alias(own_hash), F.col("copies").alias(often),
+        F.col("times").alias(times))
     met = docs.join(chosen, F.col(id_col).eqNullSafe(F.col(own_id)) & F.col(source_col).eqNullSafe(F.col(own_source))
                     & (F.xxhash64(F.col(text_col)) == F.col(own_hash)))
-    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), often))).select(*docs.columns)
+    once = met.where(F.col(times) == 1).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(often))))
+    repeated = staged(met.where(F.col(times) > 1).withColumn(part, F.spark_partition_id()), "repeated")
+    unit = [own_id, own_source, own_hash]
+    before = Window.partitionBy(*unit).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    parts = repeated.groupBy(*unit, part).agg(F.count("*").alias(n)).withColumn(ahead, F.coalesce(F.sum(n).over(before), F.lit(0))).select(
+        *[F.col(c).alias(f"{c}_") for c in unit], F.col(part).alias(f"{part}_"), ahead)
+    same = F.col(part) == F.col(f"{part}_")
+    for c in unit:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    place = F.col(ahead) + F.row_number().over(Window.partitionBy(*unit, part).orderBy(F.xxhash64(*unit)))
+    numbered = repeated.join(parts, same).withColumn(number, place).withColumn(often, own_copies(F.col(often), F.col(times), F.col(number)))
+    shared = numbered.where(F.col(often) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often))))
+    return once.select(*docs.columns).unionByName(shared.select(*docs.columns))

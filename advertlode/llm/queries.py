@@ -64,7 +64,8 @@ def op6_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of sources takes."""
     rows = cube.mixed(table(spark, sf_dir, "documents"))
     return rows.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target",
+        (cube.own_copies(F.col("copies"), F.col("times"), F.col("_row")) * F.col("size")).cast("long").alias("taken"))
 
 
 def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from advertlode.llm import bisectors, cube, order_minhash, path_ratios, periodic_runs, pivot_index, rans, recompression, string_tiling
@@ -643,3 +644,94 @@ def test_likeness_has_no_step_at_any_length():
         prints = order_minhash.fingerprints(pa.array([text[:n] for n in range(1, 140)]))
         near = order_minhash.likeness(prints[:-1], prints[1:], *[np.zeros(138, bool)] * 2)
         assert near[12:].min() > 0.5 and near[40:].min() > 0.75 and near.max() <= 1
+
+
+@pytest.mark.parametrize("others", [0, 200])
+def test_repeated_rows_meet_the_target(spark, others):
+    """A row repeated 400 times, alone or beside other documents of its source, against a source of single rows."""
+    rows = [(10_000, "ord " * 100, "a", n % 2) for n in range(400)] + [(i, "et to tre " * (5 + i % 20), "a", 0) for i in range(others)]
+    rows += [(20_000 + i, "fire fem " * 30, "b", 0) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, odd int").repartition(5)
+    units = cube.mixed(docs).collect()
+    taken = Counter()
+    for r in units:
+        taken[r.source] += r.size * r.copies
+        assert 0 <= r.copies <= 3 * r.times
+    for source, target in {(r.source, r.target) for r in units}:
+        assert abs(taken[source] - target) <= 100
+    mix = cube.mix(docs)
+    found = Counter((r.doc_id, r.source) for r in mix.collect())
+    assert found == Counter({(r.doc_id, r.source): r.copies for r in units if r.copies})
+    each = [r["n"] for r in mix.where("doc_id = 10000").groupBy("odd").agg(F.count("*").alias("n")).collect()]
+    assert len(each) == 2 or found[10_000, "a"] < 400
+
+
+@pytest.mark.parametrize("name", """comments-section comment-section user-comments reader-comments post-comments share-buttons newsletter-signup newsletter-box
+    related-articles ad-slot ad-unit cookie-banner social-links author-promo sidebar-right""".split())
+def test_main_text_without_what_stands_in_and_beside_it(name):
+    talk = "<p>Fin sak, takk for den!</p><p>Helt enig med deg, dette var bra.</p>"
+    links = "<ul><li><a href=/a>Del saken</a></li><li><a href=/b>En annen sak</a></li></ul>"
+    for other in (talk, links):
+        part = f"<div class='{name}'>{other}</div>"
+        for frame in ("<article>{}</article>", "<div class=w><div class=story>{}</div></div>", "<main>{}</main>"):
+            for page in (frame.format(f"<h1>Tittel</h1><p>{LONG}</p>{part}"), frame.format(f"<h1>Tittel</h1><p>{LONG}</p>") + part,
+                         frame.format(f"<h1>Tittel</h1><p>{LONG}</p>{part}<p>{LONG}</p>")):
+                assert set(path_ratios.main_text("<body>" + page).split("\n")) == {"Tittel", LONG.strip()}
+
+
+def test_main_text_of_two_articles_and_of_lists_of_links():
+    page = f"<body><article class=a><h1>Tittel</h1><p>{LONG * 4}</p></article><article class=b><p>Kort, men ekte.</p></article>"
+    assert path_ratios.main_text(page).split("\n") == ["Tittel", (LONG * 4).strip(), "Kort, men ekte."]
+    links = "<ul>" + "<li><a href=/x>En annen side, om noe</a></li>" * 5 + "</ul>"
+    plain = "<ul>" + "<li>Et punkt med <a href=/x>lenke</a> i</li>" * 5 + "</ul>"
+    page = f"<body><article><h1>Tittel</h1>{links}<p>{LONG}</p><div>{links}</div>{plain}</article>"
+    assert path_ratios.main_text(page).split("\n") == ["Tittel", LONG.strip(), *["Et punkt med lenke i"] * 5]
+    deep = "<body>" + "<div>" * 60 + f"<p>{LONG}</p><div class=comments><p>Nei, slett ikke.</p></div>" + "</div>" * 60
+    assert path_ratios.main_text(deep) == LONG.strip()
+    assert path_ratios.main_text("<body><nav>Meny, og mer.</nav><article></article><div class=ad>Kjøp, nå!</div>") == ""
+
+
+def test_the_ratios_decide(monkeypatch):
+    """With equal scores for all paths what the ratios leave out comes back."""
+    pages = [r[0] for r in duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()]
+    found = [path_ratios.main_text(p) for p in pages]
+    monkeypatch.setattr(path_ratios, "_scores", lambda blocks: {b.path: 1.0 for b in blocks})
+    assert all(path_ratios.main_text(p) != f for p, f in zip(pages, found))
+
+
+def plain_scores(found):
+    """The ratios of every path, path by path, and the score from them."""
+    import math
+
+    paths = [b.path for b in found]
+
+    def ratio(path, value):
+        own = [value(b) for b in found if b.path == path]
+        return sum(own) / len(own)
+
+    def near(i, j):
+        same = 0
+        while same < min(len(paths[i]), len(paths[j])) and paths[i][same] == paths[j][same]:
+            same += 1
+        return math.exp(-(i - j) ** 2 / 4.5) * (same / max(len(paths[i]), len(paths[j]))) ** 4 if abs(i - j) <= 3 else 0.0
+
+    out = {}
+    for path in set(paths):
+        total = 0.0
+        for value in (lambda b: len(b.text) - b.linked,
+                      lambda b: sum(c in ".,;:!?…。，、；：！？¿¡" for c in b.text) * (len(b.text) - b.linked) / len(b.text)):
+            own = [i for i, p in enumerate(paths) if p == path]
+            smooth = [sum(near(i, j) * ratio(paths[j], value) for j in range(len(paths))) / sum(near(i, j) for j in range(len(paths))) for i in own]
+            total += math.log1p(sum(smooth) / len(own))
+        out[path] = total * (0.005 if any(b.sign[0] for b in found if b.path == path) else 1.0)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(15))
+def test_scores_by_definition(seed):
+    rng = random.Random(seed)
+    parts = ["<p>Kort.</p>", "<p>En setning, med <a href=x>lenke</a>.</p>", "<ul><li>a<li>b, c</ul>", "<div class=x><p>Noe, her!</p></div>",
+             "<div class=comments><p>Ja, takk.</p></div>", "<nav><a href=/>Hjem</a></nav>", f"<div><div><p>{LONG}</p></div></div>", "<h2>Tittel</h2>"]
+    found = path_ratios.blocks("<body>" + "".join(rng.choices(parts, k=rng.randrange(1, 25))))
+    scores, expected = path_ratios._scores(found), plain_scores(found)
+    assert scores.keys() == expected.keys() and all(abs(scores[p] - expected[p]) < 1e-9 for p in scores)
