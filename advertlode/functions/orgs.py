@@ -130,26 +130,43 @@ def token_set_scores(name: Column, phrases: Sequence[str], *, method: str = "ind
     return F.when(name.isNotNull(), bind(tokens(name), lambda a: F.array(*[score(a, p) for p in phrases])))
 
 
+def _found_phrase(name: Column, phrases: Sequence[str]) -> Column:
+    """The longest phrase that occurs, the first of equals: the greatest of structs in that order. NULL when none does."""
+    found = [F.when(F.contains(name, F.lit(p)), F.struct(F.lit(len(p)).alias("size"), F.lit(-i).alias("place"), F.lit(p).alias("phrase")))
+             for i, p in enumerate(phrases) if p]
+    return F.array_max(F.array(*found))["phrase"]
+
+
+def _prefix_share(name: Column, prefix: str) -> Column:
+    """How much of the shortest token with the prefix it is."""
+    return F.lit(float(len(prefix))) / F.array_min(F.transform(F.filter(tokens(name), lambda t: t.startswith(prefix)), F.length))
+
+
 def rule_match(name: Column, orgs: Sequence[Org] = DEFAULT_ORGS) -> Column:
-    """`struct<org_tag, provenance>` for a normalised employer that equals a tag, contains a phrase or has a token with
-    a prefix, in that order and each in the order of `orgs`; else NULL."""
+    """An `org_match` for a normalised employer that equals a tag, contains a phrase or has a token with a prefix, in that order
+    and each in the order of `orgs`; else NULL."""
     chain = F
     for org in orgs:
-        chain = chain.when(name == org.tag, org_match(org.tag, "employer_exact"))
+        chain = chain.when(name == org.tag, org_match(org.tag, "employer_exact", F.lit(org.tag), F.lit(1.0)))
     for org in orgs:
         if org.phrases:
-            chain = chain.when(contains_any(name, org.phrases), org_match(org.tag, "employer_synonym"))
+            chain = chain.when(contains_any(name, org.phrases),
+                               org_match(org.tag, "employer_synonym", _found_phrase(name, org.phrases), F.lit(1.0)))
     for org in orgs:
         if org.prefix:
-            chain = chain.when(has_prefix(name, org.prefix), org_match(org.tag, "employer_prefix"))
+            chain = chain.when(has_prefix(name, org.prefix),
+                               org_match(org.tag, "employer_prefix", F.lit(org.prefix), _prefix_share(name, org.prefix)))
     return chain
 
 
 def title_match(title_name: Column, orgs: Sequence[Org] = DEFAULT_ORGS) -> Column:
-    """`struct<org_tag, provenance>` for a normalised title that has a token with a prefix; else NULL."""
-    return F.coalesce(*[F.when(has_prefix(title_name, org.prefix), org_match(org.tag, f"title_prefix_{org.tag}"))
-                        for org in orgs if org.prefix])
+    """An `org_match` for a normalised title that has a token with a prefix; else NULL."""
+    return F.coalesce(*[F.when(has_prefix(title_name, org.prefix), org_match(
+        org.tag, f"title_prefix_{org.tag}", F.lit(org.prefix), _prefix_share(title_name, org.prefix))) for org in orgs if org.prefix])
 
 
-def org_match(tag: str | None, provenance: str) -> Column:
-    return F.struct(F.lit(tag).cast("string").alias("org_tag"), F.lit(provenance).alias("provenance"))
+def org_match(tag: str | None, provenance: str, keyword: Column | None = None, confidence: Column | None = None) -> Column:
+    """`struct<org_tag, provenance, keyword, confidence>`; the keyword is what matched, the confidence 0 to 1."""
+    return F.struct(F.lit(tag).cast("string").alias("org_tag"), F.lit(provenance).alias("provenance"),
+                    (F.lit(None) if keyword is None else keyword).cast("string").alias("keyword"),
+                    (F.lit(None) if confidence is None else confidence).cast("double").alias("confidence"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.codes import code_titles
 from ..functions.html import DEFAULT_DETAIL, DetailSelectors, detail_page
 from ..functions.orgs import normalize_org
-from ..functions.salary import salary_range
+from ..functions.salary import salary_framework, salary_range
 from ..functions.text import blank_to_null, strip
-from ..schemas import EXPLODED, LISTING
+from ..schemas import EXPLODED, EXTENDED, LISTING, SCHEMA_VERSION
 
 def split_values(text: Column) -> Column:
     """Values separated by comma or slash, trimmed, blanks dropped; NULL when none is left."""
@@ -68,14 +68,20 @@ def listing_records(details: DataFrame, *, scraped_at: Column | str) -> DataFram
     return stamped.select(LISTING.names)
 
 
-def exploded_rows(coded: DataFrame, *, scraped_at: Column | str | None = None) -> DataFrame:
-    """Rows with a `code` struct in the fixed exploded schema."""
+def exploded_rows(coded: DataFrame, *, scraped_at: Column | str | None = None, extended: bool = False) -> DataFrame:
+    """Rows with a `code` struct in the fixed exploded schema. With `extended` also the columns of `EXTENDED`: its version, the
+    salary framework that a row without amounts names, and the keyword and confidence of the organisation, which are NULL unless
+    `coded` has them (`match_orgs` with `explain`)."""
     stamp = scraped_at if isinstance(scraped_at, Column) else F.lit(scraped_at).cast("string")
     given = {name: F.col(f"code.{name}")
              for name in ("job_code", "job_title", "salary_min", "salary_max", "salary_text")}
     given["is_shared_salary"] = F.coalesce(F.col("code.is_shared_salary"), F.lit(False))
     given["scraped_at"] = stamp
-    return coded.select(*[given.get(name, F.col(name)).alias(name) for name in EXPLODED.names])
+    if extended:
+        given["schema_version"] = F.lit(SCHEMA_VERSION)
+        given["salary_framework"] = F.when(F.col("code.salary_min").isNull(), salary_framework(F.col("code.salary_text")))
+        given |= {f.name: F.lit(None).cast(f.dataType) for f in EXTENDED if f.name.startswith("match") and f.name not in coded.columns}
+    return coded.select(*[given.get(name, F.col(name)).alias(name) for name in (EXTENDED if extended else EXPLODED).names])
 
 
 def explode_listings(listings: DataFrame, codes: str = "codes", *,
@@ -86,7 +92,8 @@ def explode_listings(listings: DataFrame, codes: str = "codes", *,
 
 def distinct_rows(exploded: DataFrame) -> DataFrame:
     """One row per (listing_id, job_code), the latest scraped; equal stamps go by the other columns."""
-    rest = [c for c in EXPLODED.names if c not in ("listing_id", "job_code", "scraped_at")]
+    names = EXTENDED.names if set(EXTENDED.names) <= set(exploded.columns) else EXPLODED.names
+    rest = [c for c in names if c not in ("listing_id", "job_code", "scraped_at")]
     latest = F.max(F.struct("scraped_at", *rest)).alias("row")
     return exploded.groupBy("listing_id", "job_code").agg(latest).select("listing_id", "job_code", "row.*") \
-        .select(EXPLODED.names)
+        .select(names)

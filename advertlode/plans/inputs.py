@@ -110,8 +110,7 @@ def advert_html() -> Column:
 def adverts(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One detail page per order: `listing_id, source_url, html`. `orders` may be a stream."""
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    # Pages are rendered after a shuffle of the narrow rows, since these tables have few splits.
-    parts = joined.select(*[F.expr(e).alias(name) for name, e in ADVERT_COLUMNS.items()]).repartition("k")
+    parts = joined.select(*[F.expr(e).alias(name) for name, e in ADVERT_COLUMNS.items()])
     return parts.select(F.concat(F.lit("A"), F.col("k")).alias("listing_id"), "source_url", advert_html().alias("html"))
 
 
@@ -152,7 +151,7 @@ def list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), item), "")
     html = F.concat(F.lit("<html><body>"), items, F.lit("</body></html>"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate").repartition("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return orders.select(F.col("o_orderkey").alias("page_no"), F.lit(SEARCH_PAGE).alias("url"), html.alias("html"))
 
 
@@ -191,6 +190,19 @@ def salary_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amounts.select("kind", "lo", F.element_at(F.array(*wordings), F.col("kind").cast("int") + 1).alias("text"))
 
 
+def framework_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`text` that names an agreement, or none, or an amount beside it, in seven wordings by order line."""
+    return table(spark, sf_dir, "lineitem").select(F.expr("""
+        CASE l_orderkey % 7
+            WHEN 0 THEN concat('Lønn etter Havneoverenskomsten for losene (HO', l_linenumber, ') som los kode ', l_partkey % 9000)
+            WHEN 1 THEN concat('Lønnes etter regulativet, trinn ', l_linenumber)
+            WHEN 2 THEN concat('etter Hoved-tariffavtalen for skip nr ', l_suppkey)
+            WHEN 3 THEN 'Lønn etter avtale'
+            WHEN 4 THEN concat('etter overenskomst: kr ', 300000 + l_partkey)
+            WHEN 5 THEN concat('ETTER Kaiverksoverenskomst (K', l_linenumber, ')')
+            ELSE concat('Dagen etter kom ', l_linenumber) END""").alias("text"))
+
+
 def code_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`text` with codes from order lines in nine wordings."""
     codes = table(spark, sf_dir, "lineitem").selectExpr(

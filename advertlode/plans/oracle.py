@@ -270,6 +270,12 @@ ORACLE: dict[str, str] = {
         CASE WHEN has_own THEN hi + 1000 ELSE pay_max END AS salary_max,
         CASE WHEN shared THEN pay_text ELSE code_title END AS salary_text, shared AS is_shared_salary,
         published_at, updated_at, apply_deadline, source_url, '{RUN_TS}' AS scraped_at FROM parts""",
+    "advert_rows_extended": f"""WITH {ADVERTS} SELECT rows.*, '1.0' AS schema_version,
+        CASE c % 8 WHEN 0 THEN 'forsvar' WHEN 1 THEN 'pst' WHEN 2 THEN 'politiets sikkerhetstjeneste' WHEN 3 THEN 'nasjonal sikkerhetsmyndighet'
+            WHEN 5 THEN 'forsvar' WHEN 6 THEN 'politiets sikkerhetstjeneste' END AS matched_org_keyword,
+        CASE c % 8 WHEN 0 THEN 7 / 9 WHEN 1 THEN 1.0 WHEN 2 THEN 1.0 WHEN 3 THEN 1.0 WHEN 5 THEN 1.0
+            WHEN 6 THEN (100.0::DOUBLE - 100.0 * 2 / 54) / 100.0 END::DOUBLE AS match_confidence, NULL::VARCHAR AS salary_framework
+        FROM rows JOIN adv USING (listing_id)""",
     "advert_listings": LISTINGS,
     "advert_blocks": f"WITH {ADVERTS} SELECT listing_id, i::INT AS block_no, block FROM blocks",
     "advert_locations": f"""WITH {ADVERTS}, places AS (
@@ -326,6 +332,15 @@ ORACLE: dict[str, str] = {
         CASE WHEN kind IN (2, 4, 9, 12) THEN NULL WHEN kind = 7 THEN least(500000, lo) ELSE lo END AS salary_min,
         CASE WHEN kind IN (2, 4, 9, 12) THEN NULL WHEN kind IN (0, 5, 6, 8) THEN hi WHEN kind = 7 THEN greatest(500000, lo)
              ELSE lo END AS salary_max FROM wording""",
+    "salary_frameworks": """SELECT CASE l_orderkey % 7
+            WHEN 0 THEN 'Lønn etter Havneoverenskomsten for losene (HO' || l_linenumber || ') som los kode ' || l_partkey % 9000
+            WHEN 1 THEN 'Lønnes etter regulativet, trinn ' || l_linenumber
+            WHEN 2 THEN 'etter Hoved-tariffavtalen for skip nr ' || l_suppkey WHEN 3 THEN 'Lønn etter avtale'
+            WHEN 4 THEN 'etter overenskomst: kr ' || (300000 + l_partkey) WHEN 5 THEN 'ETTER Kaiverksoverenskomst (K' || l_linenumber || ')'
+            ELSE 'Dagen etter kom ' || l_linenumber END AS text,
+        CASE l_orderkey % 7 WHEN 0 THEN 'Havneoverenskomsten for losene (HO' || l_linenumber || ')' WHEN 1 THEN 'regulativet'
+            WHEN 2 THEN 'Hoved-tariffavtalen for skip nr' WHEN 5 THEN 'Kaiverksoverenskomst (K' || l_linenumber || ')' END AS framework
+        FROM lineitem""",
     "grouped_amounts": """WITH a AS (SELECT round(l_extendedprice * 1000)::BIGINT AS amount, l_linenumber % 6 AS m FROM lineitem)
     SELECT replace(format('{:,}', amount), ',', [' ', '.', ',', chr(160), chr(8239), chr(8201)][m + 1]) AS text, amount FROM a""",
     "code_sets": f"""WITH {CODES} SELECT text, array_to_string(list_sort(list_distinct(CASE kind
@@ -377,6 +392,36 @@ ORACLE: dict[str, str] = {
                 CASE WHEN s > 0 THEN 100.0 - 100.0 * (lb + 1) / (2 * s + 1 + lb) END) END AS score
         FROM parts p LEFT JOIN common USING (x, y)),
     {_fuzzy_result('scored', 50.0)}""",
+    "org_scores": f"""WITH RECURSIVE {EMPLOYERS},
+    listed(phrase, phrase_no) AS (VALUES ('pst', 0), ('politiets sikkerhetstjeneste', 1), ('nsm', 2), ('nasjonal sikkerhetsmyndighet', 3), ('forsvar', 4)),
+    sets AS (
+        SELECT DISTINCT name, phrase, phrase_no, list_filter(list_distinct(string_split(name, ' ')), lambda t: t <> '') AS a,
+            list_distinct(string_split(phrase, ' ')) AS b FROM emp, listed),
+    {FUZZY[FUZZY.index("parts AS"):]},
+    -- The textbook table for the longest common subsequence, a row for each character of x.
+    lcs AS (
+        SELECT x, y, 0 AS i, list_transform(range(length(y) + 1), lambda j: 0::BIGINT) AS line FROM (SELECT DISTINCT x, y FROM parts)
+        UNION ALL
+        SELECT x, y, i + 1, list_reduce(list_prepend([0::BIGINT], list_transform(range(1, length(y) + 1), lambda j: [
+            CASE WHEN substr(x, i + 1, 1) = substr(y, j, 1) THEN line[j] + 1 ELSE line[j + 1] END])),
+            lambda done, new: list_append(done, greatest(done[len(done)], new[1])))
+        FROM lcs WHERE i < length(x)),
+    scored AS (
+        SELECT p.*, length(array_to_string(common_tokens, ' ')) AS s, length(p.x) AS la, length(p.y) AS lb, line[length(p.y) + 1] AS common
+        FROM parts p JOIN lcs ON lcs.x = p.x AND lcs.y = p.y AND i = length(p.x)),
+    final AS (
+        SELECT name, phrase_no, CASE WHEN len(a) = 0 THEN 0.0 WHEN s > 0 AND (la = 0 OR lb = 0) THEN 100.0 ELSE greatest(
+            200.0 * (CASE WHEN s > 0 THEN s + 1 ELSE 0 END + common) / (CASE WHEN s > 0 THEN 2 * s + 2 ELSE 0 END + la + lb),
+            CASE WHEN s > 0 THEN 200.0 * s / (2 * s + 1 + la) ELSE 0.0 END,
+            CASE WHEN s > 0 THEN 200.0 * s / (2 * s + 1 + lb) ELSE 0.0 END) END::DOUBLE AS score FROM scored)
+    SELECT c_custkey, phrase_no, round(score, 6) AS score FROM emp JOIN final USING (name)""",
+    "org_explained": f"""WITH {EMPLOYERS} SELECT c_custkey,
+        CASE c_custkey % 8 WHEN 0 THEN 'employer_prefix' WHEN 1 THEN 'employer_exact' WHEN 2 THEN 'employer_synonym' WHEN 3 THEN 'employer_synonym'
+            WHEN 5 THEN 'employer_prefix' WHEN 6 THEN 'employer_fuzzy_pst' ELSE CASE WHEN c_custkey % 3 = 0 THEN 'title_prefix_forsvar' ELSE 'none' END END AS provenance,
+        CASE c_custkey % 8 WHEN 1 THEN 'pst' WHEN 2 THEN 'politiets sikkerhetstjeneste' WHEN 3 THEN 'nasjonal sikkerhetsmyndighet' WHEN 0 THEN 'forsvar'
+            WHEN 5 THEN 'forsvar' WHEN 6 THEN 'politiets sikkerhetstjeneste' ELSE CASE WHEN c_custkey % 3 = 0 THEN 'forsvar' END END AS matched_org_keyword,
+        round(CASE c_custkey % 8 WHEN 1 THEN 1.0 WHEN 2 THEN 1.0 WHEN 3 THEN 1.0 WHEN 0 THEN 7 / 9 WHEN 5 THEN 1.0 WHEN 6 THEN 200.0 * (10 + 16) / 54 / 100
+            ELSE CASE WHEN c_custkey % 3 = 0 THEN 7 / length('forsvarssektoren') END END::DOUBLE, 6) AS match_confidence FROM emp""",
     "org_in_scope": f"""WITH {ADVERTS}, tagged AS (
         SELECT listing_id, title, employer_raw,
             CASE c % 8 WHEN 0 THEN 'forsvar' WHEN 1 THEN 'pst' WHEN 2 THEN 'pst' WHEN 3 THEN 'nsm' WHEN 5 THEN 'forsvar'

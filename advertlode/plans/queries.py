@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import code_titles, job_codes
 from ..functions.html import DetailSelectors, ListSelectors
-from ..functions.orgs import contains_any, has_prefix, normalize_org, tokens
-from ..functions.salary import grouped_int, salary_range
+from ..functions.orgs import DEFAULT_ORGS, contains_any, has_prefix, normalize_org, token_set_scores, tokens
+from ..functions.salary import grouped_int, salary_framework, salary_range
 from ..functions.text import fold_accents
 from ..functions.urls import canonical_url, listing_key, resolve_link, site_id
 from ..operators import quality
@@ -58,6 +58,13 @@ def advert_rows_per_code(spark, sf_dir):
     return exploded_rows(code_rows(_details(spark, sf_dir), per_code=True), scraped_at=RUN_TS)
 
 
+@query
+def advert_rows_extended(spark, sf_dir):
+    """The rows with the organisation that matched, why and how well."""
+    matched = match_orgs(_details(spark, sf_dir), "employer_raw", "title", fuzzy_threshold=0.8, explain=True)
+    return exploded_rows(code_rows(matched), scraped_at=RUN_TS, extended=True)
+
+
 def _flat_listings(listings: DataFrame) -> DataFrame:
     return listings.withColumn("locations", F.array_join("locations", "|"))
 
@@ -162,6 +169,11 @@ def salary_ranges_extended(spark, sf_dir):
     return inputs.salary_texts(spark, sf_dir).withColumn("s", wide).select("text", "s.*")
 
 
+@query
+def salary_frameworks(spark, sf_dir):
+    return inputs.framework_texts(spark, sf_dir).select("text", salary_framework(F.col("text")).alias("framework"))
+
+
 @query
 def grouped_amounts(spark, sf_dir):
     amounts = table(spark, sf_dir, "lineitem").select(
@@ -235,6 +247,22 @@ def org_fuzzy_indel(spark, sf_dir):
     return match_orgs(inputs.employers(spark, sf_dir), "employer", "title", sector_applied=True, fuzzy_threshold=0.5)
 
 
+@query
+def org_scores(spark, sf_dir):
+    """The scores themselves, of every employer and every phrase."""
+    named = inputs.employers(spark, sf_dir).select("c_custkey", normalize_org(F.col("employer")).alias("name"))
+    phrases = [p for org in DEFAULT_ORGS for p in org.fuzzy_phrases]
+    scored = named.withColumn("scores", token_set_scores(F.col("name"), phrases))
+    return scored.select("c_custkey", F.posexplode(F.transform("scores", lambda s: F.round(s, 6))).alias("phrase_no", "score"))
+
+
+@query
+def org_explained(spark, sf_dir):
+    """The keyword that won and its confidence, for every rule."""
+    return match_orgs(inputs.employers(spark, sf_dir), "employer", "title", sector_applied=True, fuzzy_threshold=0.5, explain=True).select(
+        "c_custkey", "provenance", "matched_org_keyword", F.round("match_confidence", 6).alias("match_confidence"))
+
+
 @query
 def org_in_scope(spark, sf_dir):
     details = _details(spark, sf_dir).select("listing_id", "title", "employer_raw")

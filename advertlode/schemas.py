@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, MapType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, MapType, StringType, StructField,
                                StructType)
 
 
@@ -35,3 +35,8 @@ EXPLODED = _struct(("listing_id", _S), ("job_code", _S), ("job_title", _S), ("em
                    ("salary_min", _L), ("salary_max", _L), ("salary_text", _S), ("is_shared_salary", _B),
                    ("published_at", _S), ("updated_at", _S), ("apply_deadline", _S), ("source_url", _S),
                    ("scraped_at", _S))
+
+#: The version of `EXTENDED`.
+SCHEMA_VERSION = "1.0"
+EXTENDED = StructType([*EXPLODED, StructField("schema_version", _S), StructField("matched_org_keyword", _S),
+                       StructField("match_confidence", DoubleType()), StructField("salary_framework", _S)])
