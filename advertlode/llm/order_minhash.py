@@ -37,39 +37,63 @@ _PLACE = np.uint64((1 << _PLACES) - 1)
 #: Where each function's point lies.
 POINTS = np.random.default_rng(41).integers(0, 1 << 40, SKETCHES, dtype=np.uint64) << np.uint64(_PLACES)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of text handled at a time, so few that their arrays stay in a core's cache.
+_SLICE = 1 << 19
 
 
-def _in_order(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values (40 bits) of a text's occurrence-numbered strings, ascending, and their places in the text."""
+def _following(points: np.ndarray, *sides: np.ndarray) -> np.ndarray:
+    """For each point the SELECTED values that follow it on the circle, among sorted sides: of each side as many, then the
+    nearest of all."""
+    ahead = []
+    for values in sides:
+        at = np.searchsorted(values, points)[:, None] + np.arange(min(SELECTED, len(values)))
+        ahead.append(values[at % len(values)] - points[:, None])
+    return np.sort(np.concatenate(ahead, axis=1), axis=1)[:, :SELECTED] + points[:, None]
+
+
+def _selected(strings: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and places of the strings of a text that each function selects."""
     n = len(strings)
-    if n < 1 << _PLACES:
-        key = np.sort((strings & ~_PLACE) | np.arange(n, dtype=np.uint64))
-        value, place = key & ~_PLACE, (key & _PLACE).astype(np.int64)
-    else:
-        value = strings & ~_PLACE
-        place = np.argsort(value, kind="stable")
-        value = value[place]
+    if n >= 1 << _PLACES:
+        return _selected_in_long(strings, points)
+    key = np.sort((strings & ~_PLACE) | np.arange(n, dtype=np.uint64))
     new = np.ones(n, bool)
-    new[1:] = value[1:] != value[:-1]
-    again = np.flatnonzero(~new)
-    if len(again):
-        # Later occurrences go where their own values belong; first ones are in order as they are.
-        first = np.flatnonzero(new)
-        number = (again - first[np.searchsorted(first, again) - 1]).astype(np.uint64)
-        later, later_place = mix(value[again] + number * _STEP) & ~_PLACE, place[again]
-        order = np.lexsort((later_place, later))
-        later, later_place = later[order], later_place[order]
-        value, place = value[new], place[new]
-        at = np.searchsorted(value, later)
-        value, place = np.insert(value, at, later), np.insert(place, at, later_place)
-    return value, place
-
-
-def _strings(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every k-byte string of each text, and where each text's begin."""
-    power, inverse = power_tables(len(data))
+    np.greater(key[1:] ^ key[:-1], _PLACE, out=new[1:])
+    first = np.flatnonzero(new)
+    sides = [key[first]]
+    if len(first) < n:
+        again = np.flatnonzero(~new)
+        number = again - np.repeat(first, np.diff(first, append=n) - 1)
+        repeated = key[again]
+        sides.append(np.sort((mix((repeated & ~_PLACE) + number.astype(np.uint64) * _STEP) & ~_PLACE) | (repeated & _PLACE)))
+    chosen = _following(points, *sides)
+    return chosen & ~_PLACE, (chosen & _PLACE).astype(np.int64)
+
+
+def _selected_in_long(strings: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for a text whose places do not fit beside the values."""
+    value = strings & ~_PLACE
+    place = np.argsort(value, kind="stable")
+    value = value[place]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    number = np.arange(len(value)) - np.repeat(first, np.diff(first, append=len(value)))
+    value = np.where(number, mix(value + number.astype(np.uint64) * _STEP) & ~_PLACE, value)
+    order = np.lexsort((place, value))
+    value, place = value[order], place[order]
+    at = (np.searchsorted(value, points)[:, None] + np.arange(SELECTED)) % len(value)
+    return value[at], place[at]
+
+
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
+    power, _ = power_tables(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE_VALUES[data] * power[:len(data)], out=sums[1:])
+    return sums
+
+
+def _strings(sums: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every k-byte string of each text, and where each text's begin."""
+    _, inverse = power_tables(len(sums) - 1)
     size = np.diff(at)
     made = np.where(size >= k, size - k + 1, np.minimum(size, 1))
     first = np.concatenate(([0], np.cumsum(made)))
@@ -78,17 +102,15 @@ def _strings(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64)), first
 
 
-def _kind(data: np.ndarray, at: np.ndarray, k: int, points: np.ndarray) -> np.ndarray:
+def _kind(sums: np.ndarray, at: np.ndarray, k: int, points: np.ndarray) -> np.ndarray:
     """The tuples of one kind of strings."""
-    strings, first = _strings(data, at, k)
+    strings, first = _strings(sums, at, k)
     texts = len(first) - 1
     chosen = np.zeros((texts, len(points), SELECTED), np.uint64)
     where = np.full((texts, len(points), SELECTED), -1)
     for t in np.flatnonzero(np.diff(first)).tolist():
-        value, place = _in_order(strings[first[t]:first[t + 1]])
-        many = min(SELECTED, len(value))
-        follows = (np.searchsorted(value, points)[:, None] + np.arange(many)) % len(value)
-        chosen[t, :, :many], where[t, :, :many] = value[follows], place[follows]
+        value, place = _selected(strings[first[t]:first[t + 1]], points)
+        chosen[t, :, :value.shape[1]], where[t, :, :value.shape[1]] = value, place
     chosen = np.take_along_axis(chosen, np.argsort(where, axis=2, kind="stable"), 2)
     told = np.zeros(chosen.shape[:2], np.uint64)
     for s in range(SELECTED):
@@ -100,8 +122,8 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     """SKETCHES numbers of 16 bits for each text; those of an empty text mean nothing."""
     data, at = buffers(texts)
     data, at = data[at[0]:at[-1]], at - at[0]
-    ends = np.cumsum([n for _, n in KINDS])
-    return np.concatenate([_kind(data, at, k, POINTS[end - n:end]) for (k, n), end in zip(KINDS, ends)], axis=1)
+    ends, sums = np.cumsum([n for _, n in KINDS]), _prefix_sums(data)
+    return np.concatenate([_kind(sums, at, k, POINTS[end - n:end]) for (k, n), end in zip(KINDS, ends)], axis=1)
 
 
 def likeness(one: np.ndarray, other: np.ndarray, one_empty: np.ndarray, other_empty: np.ndarray) -> np.ndarray:
@@ -160,7 +182,7 @@ def _shard_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None
     for batch in batches:
         kind = batch.column(0).type
-        for row, part in text_slices(batch.column(1)):
+        for row, part in text_slices(batch.column(1), _SLICE):
             ids, texts, prints = batch.column(0).slice(row, len(part)).to_pylist(), part.to_pylist(), fingerprints(part)
             if held is None:
                 yield _edge(shard, 0, ids[0], texts[0], 1, kind)

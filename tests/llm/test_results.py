@@ -636,6 +636,13 @@ def test_fingerprints_by_definition(text):
     assert found[1].tolist() == plain_fingerprint(text)
 
 
+def test_long_texts_select_as_others_do():
+    rng = np.random.default_rng(4)
+    for strings in (rng.integers(0, 2 ** 64, 5000, np.uint64), rng.integers(0, 2 ** 64, 50, np.uint64)[rng.integers(0, 50, 3000)]):
+        one, other = (f(strings, order_minhash.POINTS) for f in (order_minhash._selected, order_minhash._selected_in_long))
+        assert (one[0] == other[0]).all() and (one[1] == other[1]).all()
+
+
 def test_likeness_has_no_step_at_any_length():
     """A text with and without its last character, at every length."""
     rng = random.Random(12)
