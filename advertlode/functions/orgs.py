@@ -81,7 +81,8 @@ def _common_length(left: str, right: str) -> int:
     return len(right) - free.bit_count()
 
 
-def _indel_score(left: str, right: str) -> float:
+def indel_score(left: str, right: str) -> float:
+    """Similarity of two normalised texts as token sets, 0 to 100 (see `token_set_scores`)."""
     a, b = set(left.split()), set(right.split())
     if not a or not b:
         return 0.0
@@ -103,7 +104,7 @@ def _indel_udf(phrases: tuple[str, ...]):
         scores = []
         for name in names.to_pylist():
             if name not in known:
-                known[name] = [_indel_score(name, phrase) for phrase in phrases]
+                known[name] = [indel_score(name, phrase) for phrase in phrases]
             scores.append(known[name])
         return pa.array(scores, pa.list_(pa.float64()))
 

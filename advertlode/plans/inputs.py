@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import ListSelectors
+from ..functions.orgs import DEFAULT_ORGS
 
 SITE = "https://jobs.example.com"
 SEARCH_PAGE = SITE + "/stillinger/sok?side=1"
@@ -222,6 +223,28 @@ def code_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.select("kind", "a", "b", "n", text.alias("text"))
 
 
+def org_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`tag, phrase, place`: the default organisations, prefixes as phrases, and one for every other customer of one kind."""
+    fixed = [(org.tag, phrase, place) for place, org in enumerate(DEFAULT_ORGS) for phrase in org.fuzzy_phrases]
+    own = table(spark, sf_dir, "customer").where("c_custkey % 16 = 4").selectExpr(
+        "concat('kunde ', c_custkey) AS tag", "lower(replace(c_name, '#', ' ')) AS phrase", "int(10 + c_custkey) AS place")
+    return spark.createDataFrame(fixed, "tag string, phrase string, place int").unionByName(own)
+
+
+def json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`o_orderkey, text`: rows as JSON in eight forms, some broken."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr("""
+        CASE o_orderkey % 8
+            WHEN 0 THEN concat('{"job_code": ', o_orderkey, ', "salary_min": 600000.0, "is_shared_salary": true, "x": {"y": [1]}, "listing_id": "A', o_orderkey, '"}')
+            WHEN 1 THEN concat('{"listing_id": ', o_orderkey, ', "salary_min": "700000", "salary_max": 7.5e5, "is_shared_salary": "false"}')
+            WHEN 2 THEN concat('{"listing_id": "B', o_orderkey, '", "salary_min": 1.5, "salary_max": null}')
+            WHEN 3 THEN concat('{"listing_id": "C', o_orderkey)
+            WHEN 4 THEN concat('[', o_orderkey, ', 2]')
+            WHEN 5 THEN concat('{"listing_id": ["D', o_orderkey, '"], "salary_min": "etter avtale", "job_title": {"a": 1}}')
+            WHEN 7 THEN concat('  {"salary_min": 9007199254740993, "job_title": "R\\\\u00e5d \\\\"', o_orderkey, '\\\\"", "is_shared_salary": 7}')
+        END""").alias("text"))
+
+
 def employers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`c_custkey, employer, title`."""
     return table(spark, sf_dir, "customer").selectExpr(

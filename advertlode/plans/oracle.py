@@ -422,6 +422,17 @@ ORACLE: dict[str, str] = {
             WHEN 5 THEN 'forsvar' WHEN 6 THEN 'politiets sikkerhetstjeneste' ELSE CASE WHEN c_custkey % 3 = 0 THEN 'forsvar' END END AS matched_org_keyword,
         round(CASE c_custkey % 8 WHEN 1 THEN 1.0 WHEN 2 THEN 1.0 WHEN 3 THEN 1.0 WHEN 0 THEN 7 / 9 WHEN 5 THEN 1.0 WHEN 6 THEN 200.0 * (10 + 16) / 54 / 100
             ELSE CASE WHEN c_custkey % 3 = 0 THEN 7 / length('forsvarssektoren') END END::DOUBLE, 6) AS match_confidence FROM emp""",
+    "org_table": f"""WITH {EMPLOYERS} SELECT c_custkey, employer,
+        CASE WHEN k IN (0, 5) THEN 'forsvar' WHEN k IN (1, 2, 6) THEN 'pst' WHEN k = 3 THEN 'nsm' WHEN c_custkey % 16 = 4 THEN 'kunde ' || c_custkey END AS org_tag,
+        CASE WHEN k = 1 THEN 'employer_exact' WHEN k IN (0, 2, 3, 5) OR c_custkey % 16 = 4 THEN 'employer_synonym' WHEN k = 6 THEN 'employer_fuzzy_pst'
+            ELSE 'none' END AS provenance,
+        CASE WHEN k IN (0, 5) THEN 'forsvar' WHEN k = 1 THEN 'pst' WHEN k IN (2, 6) THEN 'politiets sikkerhetstjeneste'
+            WHEN k = 3 THEN 'nasjonal sikkerhetsmyndighet' WHEN c_custkey % 16 = 4 THEN name END AS matched_org_keyword,
+        CASE WHEN k = 6 THEN round(26 / 27, 6) WHEN k IN (0, 1, 2, 3, 5) OR c_custkey % 16 = 4 THEN 1.0 END::DOUBLE AS match_confidence
+        FROM (SELECT *, c_custkey % 8 AS k FROM emp)""",
+    "org_phrase_pairs": """WITH names AS (SELECT DISTINCT lower(p_name) AS name FROM part),
+        words AS (SELECT DISTINCT lower(substr(p_name, (1 + p_partkey % 5)::INT, (1 + p_partkey % 6)::INT)) AS phrase FROM part)
+        SELECT name, phrase FROM names JOIN words ON phrase <> '' AND contains(name, phrase)""",
     "org_in_scope": f"""WITH {ADVERTS}, tagged AS (
         SELECT listing_id, title, employer_raw,
             CASE c % 8 WHEN 0 THEN 'forsvar' WHEN 1 THEN 'pst' WHEN 2 THEN 'pst' WHEN 3 THEN 'nsm' WHEN 5 THEN 'forsvar'
@@ -456,6 +467,15 @@ ORACLE: dict[str, str] = {
             'x' AS salary_text, i = 2 AS is_shared_salary, o_orderstatus AS published_at, NULL::VARCHAR AS updated_at,
             NULL::VARCHAR AS apply_deadline, o_orderpriority AS source_url, '{RUN_TS}' AS scraped_at FROM o""",
     "schema_align": f"WITH {UNLIKE} SELECT * FROM unlike",
+    "row_ingestion": """SELECT o_orderkey,
+        CASE k WHEN 0 THEN 'A' || o_orderkey WHEN 1 THEN o_orderkey::VARCHAR WHEN 2 THEN 'B' || o_orderkey END AS listing_id,
+        CASE k WHEN 0 THEN o_orderkey::VARCHAR END AS job_code, CASE k WHEN 7 THEN 'Råd "' || o_orderkey || '"' END AS job_title,
+        CASE k WHEN 0 THEN 600000 WHEN 1 THEN 700000 WHEN 7 THEN 9007199254740993 END::BIGINT AS salary_min,
+        CASE k WHEN 1 THEN 750000 END::BIGINT AS salary_max, CASE k WHEN 0 THEN true WHEN 1 THEN false END AS is_shared_salary,
+        CASE k WHEN 3 THEN 'not_json' WHEN 4 THEN 'not_object' WHEN 6 THEN 'missing' END AS problem,
+        CASE k WHEN 2 THEN 'salary_min' WHEN 5 THEN 'listing_id,job_title,salary_min' WHEN 7 THEN 'is_shared_salary' ELSE '' END AS unfit
+        FROM (SELECT *, o_orderkey % 8 AS k FROM orders)""",
+    "stream_distinct": "SELECT DISTINCT 'L' || user_id AS listing_id, event_type AS job_code FROM events",
     "load_stamp": f"WITH {UNLIKE} SELECT listing_id, coalesce(scraped_at, '{RUN_TS}') AS scraped_at FROM unlike",
     "sink_runs": f"""WITH {UNLIKE}, stamps AS (SELECT unnest(['2024-01-01T00:00:00Z', '{RUN_TS}']) AS run),
         formats AS (SELECT unnest(['parquet', 'csv']) AS format)

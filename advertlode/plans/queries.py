@@ -14,9 +14,10 @@ from ..functions.salary import grouped_int, salary_framework, salary_range
 from ..functions.text import fold_accents
 from ..functions.urls import canonical_url, listing_key, resolve_link, site_id
 from ..operators import quality
-from ..operators.align import align_exploded, stamp_load
+from ..operators.align import align_exploded, ingest, stamp_load
 from ..operators.details import code_rows, detail_fields, distinct_rows, explode_listings, exploded_rows, listing_records
 from ..operators.discovery import list_summaries, non_empty_pages, page_items, search_frontier
+from ..operators.org_index import match_org_table, phrases_in
 from ..operators.orgs import match_orgs
 from ..operators.state import (candidate_sources, candidates, decide, fingerprint, incremental_efficiency,
                                latest_updates, lookup_fingerprints, seen, unseen, update_fingerprints, upsert, upsert_summaries)
@@ -25,7 +26,7 @@ from ..session import work_dir
 from ..sources import sinks
 from ..sources.pages import read_pages
 from ..sources.state_table import commit_state, commit_updates, read_state
-from ..streaming.state_stream import changes_writer, incremental_writer, state_changes, streaming_rows, streaming_state
+from ..streaming.state_stream import changes_writer, incremental_writer, state_changes, streaming_distinct, streaming_rows, streaming_state
 from . import inputs
 from .inputs import RUN_TS, table
 from .run import RunConfig, run, stage
@@ -263,6 +264,21 @@ def org_explained(spark, sf_dir):
         "c_custkey", "provenance", "matched_org_keyword", F.round("match_confidence", 6).alias("match_confidence"))
 
 
+@query
+def org_table(spark, sf_dir):
+    """Employers against organisations given as a table."""
+    return match_org_table(inputs.employers(spark, sf_dir).select("c_custkey", "employer"), "employer", inputs.org_table(spark, sf_dir),
+                           fuzzy_threshold=0.95).withColumn("match_confidence", F.round("match_confidence", 6))
+
+
+@query
+def org_phrase_pairs(spark, sf_dir):
+    """Which words of which length occur in which text of the tables, by looking their rarest grams up."""
+    names = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name"))
+    words = table(spark, sf_dir, "part").selectExpr("lower(substring(p_name, 1 + int(p_partkey % 5), 1 + int(p_partkey % 6))) AS phrase")
+    return phrases_in(names, words)
+
+
 @query
 def org_in_scope(spark, sf_dir):
     details = _details(spark, sf_dir).select("listing_id", "title", "employer_raw")
@@ -392,6 +408,14 @@ def schema_align(spark, sf_dir):
     return _unlike_rows(spark, sf_dir)
 
 
+@query
+def row_ingestion(spark, sf_dir):
+    """JSON rows of any shape to the fixed schema, with what did not fit."""
+    rows = ingest(inputs.json_rows(spark, sf_dir), "text")
+    return rows.select("o_orderkey", "listing_id", "job_code", "job_title", "salary_min", "salary_max", "is_shared_salary", "problem",
+                       F.array_join("unfit", ",").alias("unfit"))
+
+
 @query
 def load_stamp(spark, sf_dir):
     return stamp_load(_unlike_rows(spark, sf_dir), RUN_TS).select("listing_id", "scraped_at")
@@ -541,6 +565,17 @@ def stream_rows(spark, sf_dir):
     return spark.read.parquet(f"{path}/rows")
 
 
+@query
+def stream_distinct(spark, sf_dir):
+    """Rows of a stream without those whose key came before."""
+    events = inputs.stream_table(spark, sf_dir, "events").select(
+        F.concat(F.lit("L"), F.col("user_id")).alias("listing_id"), F.col("event_type").alias("job_code"), inputs.iso(F.col("ts")).alias("scraped_at"))
+    path = work_dir(spark, "stream")
+    writer = streaming_distinct(events, delay="60 days").select("listing_id", "job_code").writeStream.format("parquet").option("path", f"{path}/rows")
+    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/rows")
+
+
 def _landed_stream(spark: SparkSession, sf_dir: str) -> str:
     """Three drops of events, each followed by a trigger of the incremental stream."""
     path = work_dir(spark, "stream")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.html import DEFAULT_DETAIL, DetailSelectors
 from ..operators.details import code_rows, detail_fields, exploded_rows
@@ -153,3 +154,21 @@ def incremental_writer(updates: DataFrame, state_root: str, decided_path: str, *
         drop_old_versions(spark, state_root, keep)
 
     return updates.writeStream.foreachBatch(merge)
+
+
+def streaming_distinct(rows: DataFrame, *, at: str = "scraped_at", delay: str = "1 day",
+                       keys: tuple[str, ...] = ("listing_id", "job_code")) -> DataFrame:
+    """The first row of each key among those that come within `delay` of each other; `at` is a timestamp or ISO text.
+
+    Unlike a plain distinct this forgets: a key is kept in the state store until the watermark, the greatest time seen less
+    `delay`, has passed it, so the state grows with the keys of that span and not with the stream. A row that is later than
+    the watermark is left out, repeated or not, and counted (`late_rows`). Rows without a time are taken as late.
+    """
+    time = F.col(at) if dict(rows.dtypes)[at] == "timestamp" else F.try_to_timestamp(at)
+    timed = rows.withColumn("_at", time).withWatermark("_at", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_at")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows the triggers on record of a query have left out for being late."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for progress in query.recentProgress for op in json.loads(progress.json)["stateOperators"])

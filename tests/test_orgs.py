@@ -1,9 +1,12 @@
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
-from advertlode.functions.orgs import normalize_org, token_set_scores
+from advertlode.functions.orgs import DEFAULT_ORGS, normalize_org, token_set_scores
 from advertlode.functions.text import fold_accents, strip
+from advertlode.operators import org_index
+from advertlode.operators.org_index import best_phrases, match_org_table, phrases_in
 from advertlode.operators.orgs import match_orgs
 
 
@@ -93,3 +96,60 @@ def test_scores_against_brute_force(column, texts, same):
         b = set(phrase.split())
         same(inputs, [round(f[i], 9) for f in jaccard],
              [round(100.0 * len(set(t.split()) & b) / len(set(t.split()) | b), 9) if t else 0.0 for t in inputs])
+
+
+def test_explained_matches(spark):
+    def why(employer, title=None, **options):
+        row = match_orgs(spark.createDataFrame([(employer, title)], "employer string, title string"), "employer", "title", explain=True, **options).first()
+        return row.matched_org_keyword, row.match_confidence and round(row.match_confidence, 4)
+
+    assert why("Politiets sikkerhetstjeneste (PST)") == ("politiets sikkerhetstjeneste", 1.0)  # the longer of two
+    assert why("nsm") == ("nsm", 1.0) and why("Forsvarsbygg Forsvaret") == ("forsvar", 0.7778) and why("Havnevesenet") == (None, None)
+    assert why("Politiets Sikkerhetstjenst", fuzzy_threshold=0.8) == ("politiets sikkerhetstjeneste", 0.963)
+    assert why("", "Forsvarsanalytiker", sector_applied=True) == ("forsvar", round(7 / 18, 4))
+
+
+WORDS = ["politiets", "sikkerhetstjeneste", "sikkerhet", "nasjonal", "havn", "kystvakt", "bergen kommune", "oslo", "as", "te", "x"]
+
+
+def random_names(texts, seed, count):
+    return sorted({" ".join(" ".join(w if i % 3 else w[:-1] + "q" for i, w in enumerate(t.split())).split())
+                   for t in texts([w + " " for w in WORDS], count=count, longest=5, seed=seed)})
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.5, 0.8, 0.95])
+def test_best_phrases_against_every_phrase(spark, texts, monkeypatch, threshold):
+    names, phrases = random_names(texts, 1, 150), [p for p in random_names(texts, 2, 120) if p]
+    places = {p: len(p) % 7 for p in phrases}
+    expected = {}
+    for name in filter(None, names):
+        scores = {p: plain_indel(name, p) for p in phrases}
+        top = max(scores.values())
+        if top >= 100 * threshold:
+            expected[name] = (round(top, 9), min((places[p], p) for p in phrases if scores[p] > top - 1e-9)[1])
+    given = spark.createDataFrame([(n,) for n in names * 2], "name string"), spark.createDataFrame(list(places.items()), "phrase string, place int")
+    for most in (1 << 17, 25):  # in one part, and in several
+        monkeypatch.setattr(org_index, "MOST_PHRASES", most)
+        found = {r.name: (round(r.score, 9), r.phrase) for r in best_phrases(*given, threshold=threshold).collect()}
+        assert found == expected
+
+
+def test_phrases_in_names(spark, texts):
+    names, phrases = random_names(texts, 3, 200), sorted({n[i:i + k] for n in random_names(texts, 4, 60) for i in (0, 3) for k in (1, 2, 3, 5, 9)} | {"qqq", ""})
+    found = phrases_in(spark.createDataFrame([(n,) for n in [*names, None]], "name string"), spark.createDataFrame([(p,) for p in [*phrases, None]], "phrase string"))
+    assert sorted(tuple(r) for r in found.collect()) == sorted((n, p) for n in names for p in phrases if p and p in n)
+    empty = spark.createDataFrame([], "phrase string")
+    assert phrases_in(spark.createDataFrame([("a",)], "name string"), empty).collect() == []
+
+
+def test_organisations_as_a_table_match_as_the_expressions_do(spark):
+    orgs = [(org.tag, phrase, place) for place, org in enumerate(DEFAULT_ORGS[:2]) for phrase in org.phrases]
+    employers = ["PST", "Politiets sikkerhetstjeneste (PST)", "toppstyret i NSM", "nsm", "Nasjonal sikkerhetsmyndghet", "Havn", "", None, "PST"]
+    df = spark.createDataFrame([(i, e) for i, e in enumerate(employers)], "i int, employer string")
+    table = spark.createDataFrame(orgs, "tag string, phrase string, place int")
+    for threshold in (None, 0.8):
+        found = match_org_table(df, "employer", table, fuzzy_threshold=threshold).orderBy("i").collect()
+        assert found == match_orgs(df, "employer", fuzzy_threshold=threshold, orgs=DEFAULT_ORGS[:2], explain=True).orderBy("i").collect()
+    with pytest.raises(ValueError):
+        wide = spark.range(org_index.MOST_PHRASES * org_index.MOST_PARTS + 2).selectExpr("'t' AS tag", "concat('p', id) AS phrase", "1 AS place")
+        best_phrases(df.select(F.col("employer").alias("name")), wide, threshold=0.5)

@@ -8,7 +8,8 @@ from advertlode.plans import inputs
 from advertlode.schemas import STATE
 from advertlode.session import work_dir
 from advertlode.sources.state_table import commit_state, manifest, read_state, versions
-from advertlode.streaming.state_stream import changes_writer, incremental_writer, state_changes, streaming_rows, streaming_state
+from advertlode.streaming.state_stream import (changes_writer, incremental_writer, late_rows, state_changes, streaming_distinct,
+                                                streaming_rows, streaming_state)
 
 from .conftest import SF
 
@@ -141,3 +142,22 @@ def test_changes_over_triggers_and_replays_equal_batch(spark):
     play()
     after = manifest(spark, f"{path}/state", 2).folders
     assert sum(after[b] != before.get(b) for b in after) == 1
+
+
+def test_distinct_rows_of_a_stream(spark):
+    """Repeated rows are left out within the delay, also over triggers; rows behind the watermark are left out and counted."""
+    path, schema = work_dir(spark, "stream"), "listing_id string, job_code string, scraped_at string"
+    drops = [[("A", "1", "2024-01-01T00:00:00Z"), ("A", "1", "2024-01-01T09:00:00Z"), ("A", "2", "2024-01-01T01:00:00Z")],
+             [("A", "1", "2024-01-01T12:00:00Z"), ("B", "1", "2024-01-10T00:00:00Z")],
+             [("C", "1", "2024-01-02T00:00:00Z"), ("B", "1", "2024-01-09T12:00:00Z"), ("A", "1", "2024-01-10T01:00:00Z"), ("D", None, "2024-01-10T01:00:00Z")]]
+    late = 0
+    for n, found in enumerate(drops):
+        spark.createDataFrame(found, schema).write.parquet(f"{path}/in/drop={n}")
+        stream = spark.readStream.schema(spark.createDataFrame(found, schema).schema).parquet(f"{path}/in/drop=*")
+        query = streaming_distinct(stream).writeStream.format("parquet").option("path", f"{path}/rows").option(
+            "checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        late += late_rows(query)
+    # A repeats after its key was forgotten; C is late; B is neither.
+    kept = rows(spark.read.schema(stream.schema).parquet(f"{path}/rows").select("listing_id", "job_code"))
+    assert kept == [("A", "1"), ("A", "1"), ("A", "2"), ("B", "1"), ("D", None)] and late == 1
