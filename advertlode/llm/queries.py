@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import (bisectors, cube, line_spread, lsh_forest, merkle, order_minhash, path_ratios, periodic_runs, pivot_index, pu_quality, separators,
                string_tiling)
@@ -101,9 +102,8 @@ def op12_bisector_tournament(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = spark.createDataFrame([(c, hashlib.sha256(",".join(map(str, v)).encode()).hexdigest()) for c, v in enumerate(found.centroids)],
                                   "cluster int, centroid_sha256 string")
     sums = found.rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("sum"))
-    total = sums.agg(F.sum("sum").alias("total"))
-    # One row per centroid, so that the join moves no vectors.
-    own = sums.crossJoin(F.broadcast(total)).join(F.broadcast(names), "cluster").select(
+    # One row per centroid, so neither the window nor the joins move vectors.
+    own = sums.withColumn("total", F.sum("sum").over(Window.partitionBy())).join(F.broadcast(names), "cluster").select(
         "cluster", F.col("sum").cast("long").alias("cluster_inertia"), F.col("total").cast("long").alias("inertia"), "centroid_sha256")
     return found.rows.join(F.broadcast(own), "cluster").select(
         F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
