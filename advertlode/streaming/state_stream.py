@@ -5,8 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -31,6 +30,9 @@ _CHANGE = ("listing_id string, kind string, seq long, reason string, last_seen_a
            "detail_fingerprint string")
 
 
+_Change = Row(*[field.split()[0] for field in _CHANGE.split(", ")])
+
+
 class _Listing(StatefulProcessor):
     """Keeps one listing: its values, and the `seq` that the last `updated_at` and fingerprint came with."""
 
@@ -41,47 +43,42 @@ class _Listing(StatefulProcessor):
         self._held = handle.getValueState("listing", _HELD)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        row = initialState.iloc[0].astype(object).where(initialState.iloc[0].notna(), None)
-        self._held.update((row.last_seen_at, row.updated_at, None, row.detail_fingerprint, None))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self._held.get()
-        seen, updated, updated_seq, printed, print_seq = now = tuple(before) if before else (None,) * 5
-        for part in rows:
-            if self._decisions and len(found := part.assign(kind="candidate", reason=_reasons(part, before)).dropna(subset="reason")):
-                yield found.reindex(columns=_CHANGES).astype(object).where(lambda d: d.notna(), None)
-            sighted = part["last_seen_at"].dropna()
-            seen = max([*([seen] if seen is not None else []), *([sighted.max()] if len(sighted) else [])], default=None)
-            updated, updated_seq = _later(part, "updated_at", updated, updated_seq)
-            printed, print_seq = _later(part, "detail_fingerprint", printed, print_seq)
+        self._held.update((initialState.last_seen_at, initialState.updated_at, None, initialState.detail_fingerprint, None))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self._held.get()
+        before = tuple(held) if held else None
+        seen, updated, updated_seq, printed, print_seq = now = before or (None,) * 5
+        for row in rows:
+            if self._decisions and (reason := _reason(row.updated_at, before)):
+                yield _Change(key[0], "candidate", row.seq, reason, row.last_seen_at, row.updated_at, row.detail_fingerprint)
+            if row.last_seen_at is not None and (seen is None or row.last_seen_at > seen):
+                seen = row.last_seen_at
+            if row.updated_at is not None and _is_later(row.seq, updated_seq):
+                updated, updated_seq = row.updated_at, row.seq
+            if row.detail_fingerprint is not None and _is_later(row.seq, print_seq):
+                printed, print_seq = row.detail_fingerprint, row.seq
         after = (seen, updated, updated_seq, printed, print_seq)
         if before is None or after != now:
             self._held.update(after)
-        if before is None or (after[0], after[1], after[3]) != (now[0], now[1], now[3]):
-            yield pd.DataFrame([(key[0], "state", None, None, seen, updated, printed)], columns=_CHANGES)
+        if before is None or (seen, updated, printed) != (now[0], now[1], now[3]):
+            yield _Change(key[0], "state", None, None, seen, updated, printed)
 
     def close(self) -> None:
         pass
 
 
-_CHANGES = [field.split()[0] for field in _CHANGE.split(", ")]
-
-
-def _later(part: pd.DataFrame, name: str, value, seq):
-    """The last non-NULL value by seq, among the rows and the one held."""
-    known = part[part[name].notna()]
-    if len(known):
-        row = known.loc[known["seq"].idxmax()]
-        if seq is None or row["seq"] >= seq:
-            return row[name], int(row["seq"])
-    return value, seq
+def _is_later(seq: int | None, held: int | None) -> bool:
+    return held is None or (seq is not None and seq >= held)
 
 
-def _reasons(part: pd.DataFrame, before) -> list[str | None]:
+def _reason(updated_at: str | None, before: tuple | None) -> str | None:
     """As `decide`, against the values before this trigger."""
-    if before is None or before[3] is None:
-        return ["new" if before is None else "no_fingerprint"] * len(part)
-    return ["updated_at_changed" if isinstance(at, str) and at not in ("", before[1]) else None for at in part["updated_at"]]
+    if before is None:
+        return "new"
+    if before[3] is None:
+        return "no_fingerprint"
+    return "updated_at_changed" if updated_at and updated_at != before[1] else None
 
 
 def state_changes(updates: DataFrame, *, initial: DataFrame | None = None, decisions: bool = False) -> DataFrame:
@@ -95,7 +92,7 @@ def state_changes(updates: DataFrame, *, initial: DataFrame | None = None, decis
     """
     rows = updates.select("listing_id", "last_seen_at", "updated_at", "detail_fingerprint", F.col("seq").cast("long").alias("seq"))
     start = initial.select(STATE.names).groupBy("listing_id") if initial is not None else None
-    return rows.groupBy("listing_id").transformWithStateInPandas(_Listing(decisions), _CHANGE, "Update", "None", initialState=start)
+    return rows.groupBy("listing_id").transformWithState(_Listing(decisions), _CHANGE, "Update", "None", initialState=start)
 
 
 def changes_writer(updates: DataFrame, state_root: str, *, name: str | None = None, keep: int = 10) -> DataStreamWriter:
