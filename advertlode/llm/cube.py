@@ -190,13 +190,19 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     """
     own_id, own_source, own_hash, often, times, copy, part, number, ahead, n = fresh(
         docs, "_id", "_source", "_hash", "_copies", "_times", "_copy", "_part", "_number", "_ahead", "_n")
-    chosen = mixed(docs, id_col=id_col, source_col=source_col, text_col=text_col).where("copies > 0").select(
+    chosen = staged(mixed(docs, id_col=id_col, source_col=source_col, text_col=text_col).where("copies > 0").select(
         F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("hash").alias(own_hash), F.col("copies").alias(often),
-        F.col("times").alias(times))
-    met = docs.join(chosen, F.col(id_col).eqNullSafe(F.col(own_id)) & F.col(source_col).eqNullSafe(F.col(own_source))
-                    & (F.xxhash64(F.col(text_col)) == F.col(own_hash)))
-    once = met.where(F.col(times) == 1).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(often))))
-    repeated = staged(met.where(F.col(times) > 1).withColumn(part, F.spark_partition_id()), "repeated")
+        F.col("times").alias(times)), "chosen")
+
+    def met(units: DataFrame) -> DataFrame:
+        return docs.join(units, F.col(id_col).eqNullSafe(F.col(own_id)) & F.col(source_col).eqNullSafe(F.col(own_source))
+                         & (F.xxhash64(F.col(text_col)) == F.col(own_hash)))
+
+    once = met(chosen.where(F.col(times) == 1)).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(often)))).select(*docs.columns)
+    more = chosen.where(F.col(times) > 1)
+    if more.isEmpty():  # no second pass over the texts
+        return once
+    repeated = staged(met(more).withColumn(part, F.spark_partition_id()), "repeated")
     unit = [own_id, own_source, own_hash]
     before = Window.partitionBy(*unit).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     parts = repeated.groupBy(*unit, part).agg(F.count("*").alias(n)).withColumn(ahead, F.coalesce(F.sum(n).over(before), F.lit(0))).select(
@@ -207,4 +213,4 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     place = F.col(ahead) + F.row_number().over(Window.partitionBy(*unit, part).orderBy(F.xxhash64(*unit)))
     numbered = repeated.join(parts, same).withColumn(number, place).withColumn(often, own_copies(F.col(often), F.col(times), F.col(number)))
     shared = numbered.where(F.col(often) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(often))))
-    return once.select(*docs.columns).unionByName(shared.select(*docs.columns))
+    return once.unionByName(shared.select(*docs.columns))
