@@ -20,10 +20,11 @@ from dataclasses import dataclass, fields
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeResult
 
 # Fixed values of the HTML standard: void tags, which open elements a start tag ends, and where that search stops.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -353,3 +354,39 @@ def list_items(html: Column, selectors: ListSelectors = DEFAULT_LIST) -> Column:
     """Array of (href, published_at, updated_at, id_candidates), one per item with a link; the item itself may carry
     the id attributes."""
     return _page_udf(_read_items, _items_array, selectors, _ITEMS_TYPE)(html)
+
+
+_ITEM_TYPE = _ITEMS_TYPE.elementType
+
+
+class _PageItems:
+    """`page_items(TABLE(pages), item, link, published_at, updated_at, id_candidates)`: see `register_page_items`."""
+
+    def __init__(self):
+        self._scanner = None
+
+    @staticmethod
+    def analyze(pages, item, link, published_at=None, updated_at=None, id_candidates=None) -> AnalyzeResult:
+        if not pages.isTable or "html" not in pages.dataType.names:
+            raise ValueError("page_items takes a table with a column html")
+        others = [f for f in pages.dataType if f.name != "html"]
+        return AnalyzeResult(StructType([*others, StructField("item_no", IntegerType()), *_ITEM_TYPE]))
+
+    def eval(self, row, item, link, published_at=None, updated_at=None, id_candidates=None):
+        if self._scanner is None:  # the selectors are constants of the query
+            self._scanner = _Scanner(_rules(ListSelectors(item=item, link=link, published_at=published_at, updated_at=updated_at,
+                                                          id_candidates=id_candidates)))
+        given = row.asDict()
+        page = given.pop("html")
+        for n, found in enumerate(_read_items(page, self._scanner) if page else ()):
+            yield (*given.values(), n, *[found[name] for name in _ITEM_TYPE.names])
+
+
+def register_page_items(spark: SparkSession, name: str = "page_items") -> None:
+    """Make list items a table function of SQL: `SELECT ... FROM page_items(TABLE(pages), item => 'li', link => 'a')`.
+
+    The result has the columns of the given table but for `html`, then `item_no, href, published_at, updated_at,
+    id_candidates`; its schema follows from the arguments. Pages without html have no items. Rows stay where they are, and
+    filters and columns of the given table reach its scan.
+    """
+    spark.udtf.register(name, F.udtf(_PageItems))

@@ -284,6 +284,7 @@ ORACLE: dict[str, str] = {
     "page_fields": f"""SELECT page_id,
         nullif(trim({_unescape("regexp_extract(html, '<title>([^<]*)</title>', 1)")}), '') AS title,
         nullif(trim({_unescape("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}), '') AS job_title,
+        nullif(trim({_unescape("regexp_extract(html, '<div class=.ad.>([^<]*)</div>', 1)")}, ' ' || chr(10)), '') AS employer_raw,
         NULL::VARCHAR AS salary_text FROM pages""",
     "page_links": f"""WITH links AS (
         SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS host,
@@ -291,6 +292,8 @@ ORACLE: dict[str, str] = {
     numbered AS (
         SELECT page_id, (unnest(range(len(hrefs))))::INT AS item_no, host || {_unescape("unnest(hrefs)")} AS source_url FROM links)
     SELECT page_id, item_no, source_url, sha1(source_url) AS listing_id, 'sha1_url' AS provenance FROM numbered""",
+    "page_items_function": f"""WITH links AS (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS hrefs FROM pages)
+        SELECT page_id, (unnest(range(len(hrefs))))::INT AS item_no, {_unescape("unnest(hrefs)")} AS href FROM links""",
     "page_scan": "SELECT NULL::INT AS page_no, url, length(html)::BIGINT AS n_chars FROM pages WHERE html <> ''",
     "list_items": f"WITH {ITEMS} SELECT listing_id, source_url, published_at, updated_at, provenance FROM summaries",
     "search_frontier": f"""WITH s AS (

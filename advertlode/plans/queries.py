@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import code_titles, job_codes
-from ..functions.html import DetailSelectors, ListSelectors
+from ..functions.html import DetailSelectors, ListSelectors, register_page_items
 from ..functions.orgs import DEFAULT_ORGS, contains_any, has_prefix, normalize_org, token_set_scores, tokens
 from ..functions.salary import grouped_int, salary_framework, salary_range
 from ..functions.text import fold_accents
@@ -89,7 +89,7 @@ def advert_locations(spark, sf_dir):
 def page_fields(spark, sf_dir):
     selectors = DetailSelectors(title="title", job_title="h1", employer=".ad", extent="nav", salary_text="h2")
     fields = detail_fields(table(spark, sf_dir, "pages").select("page_id", "html"), selectors)
-    return fields.select("page_id", "title", "job_title", "salary_text")
+    return fields.select("page_id", "title", "job_title", "employer_raw", "salary_text")
 
 
 @query
@@ -100,6 +100,15 @@ def page_links(spark, sf_dir):
                                         "source_url", "listing_id", "provenance")
 
 
+@query
+def page_items_function(spark, sf_dir):
+    """The same items by the table function in SQL."""
+    register_page_items(spark)
+    table(spark, sf_dir, "pages").createOrReplaceTempView("given_pages")
+    return spark.sql("""SELECT page_id, item_no, href FROM page_items(
+        TABLE(SELECT page_id, html FROM given_pages), item => 'li', link => 'a')""")
+
+
 @query
 def page_scan(spark, sf_dir):
     pages = non_empty_pages(read_pages(spark, f"{sf_dir}/pages.parquet"))

@@ -232,3 +232,21 @@ def test_odd_markup_takes_linear_time(page):
 def test_exploded_schema(spark):
     rows = exploded_rows(code_rows(detail_fields(inputs.advert_pages(spark, SF))))
     assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in EXPLODED]
+
+
+def test_items_as_a_table_function(spark, tmp_path):
+    from advertlode.functions.html import register_page_items
+
+    rows = [(1, "a", "<li><a href=/x>1</a><time>t1</time></li><li>no link</li><li data-id=7><a href='/y&amp;z'>2</a></li>", "p"), (2, "a", None, "p"),
+            (3, "b", "<li><a href=/q>3</a></li>", "p"), (4, "a", "", "p")]
+    spark.createDataFrame(rows, "page_no int, site string, html string, unused string").write.parquet(str(tmp_path / "p"))
+    spark.read.parquet(str(tmp_path / "p")).createOrReplaceTempView("some_pages")
+    register_page_items(spark)
+    found = spark.sql("""SELECT * FROM page_items(TABLE(SELECT site, html, page_no FROM some_pages WHERE site = 'a'), item => 'li', link => 'a',
+                         published_at => 'time', id_candidates => 'li')""")
+    assert found.columns == ["site", "page_no", "item_no", "href", "published_at", "updated_at", "id_candidates"]
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 1, 0, "/x", "t1", None, []), ("a", 1, 1, "/y&z", None, None, ["7"])]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(site,a)" in plan and "unused" not in plan  # pushed to the scan
+    with pytest.raises(Exception, match="column html"):
+        spark.sql("SELECT * FROM page_items(TABLE(SELECT site FROM some_pages), item => 'li', link => 'a')").collect()
