@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -13,6 +13,7 @@ from ..functions.html import DEFAULT_DETAIL, DetailSelectors
 from ..operators.details import code_rows, detail_fields, exploded_rows
 from ..operators.state import candidates, decide, latest_updates
 from ..schemas import STATE
+from ..session import SETTINGS
 from ..sources.state_table import commit_updates, committed_batch, drop_old_versions, latest_version, read_state
 
 
@@ -81,6 +82,14 @@ def _reason(updated_at: str | None, before: tuple | None) -> str | None:
     return "updated_at_changed" if updated_at and updated_at != before[1] else None
 
 
+def _use_column_families(spark: SparkSession) -> None:
+    """Spark's default state store has no column families, which `transformWithState` needs; a session that has the default gets
+    RocksDB for the streams it starts from here on. Streams with a checkpoint keep the store they began with."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider).endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(provider, SETTINGS[provider])
+
+
 def state_changes(updates: DataFrame, *, initial: DataFrame | None = None, decisions: bool = False) -> DataFrame:
     """The change feed of a stream of updates: `listing_id, kind, seq, reason, last_seen_at, updated_at, detail_fingerprint`.
 
@@ -90,6 +99,7 @@ def state_changes(updates: DataFrame, *, initial: DataFrame | None = None, decis
     listing a candidate also gives a row of kind `candidate` with its `seq` and reason, against the values before the trigger.
     `initial` has the rows of a state to start from; any update counts as later than these.
     """
+    _use_column_families(updates.sparkSession)
     rows = updates.select("listing_id", "last_seen_at", "updated_at", "detail_fingerprint", F.col("seq").cast("long").alias("seq"))
     start = initial.select(STATE.names).groupBy("listing_id") if initial is not None else None
     return rows.groupBy("listing_id").transformWithState(_Listing(decisions), _CHANGE, "Update", "None", initialState=start)

@@ -161,3 +161,18 @@ def test_distinct_rows_of_a_stream(spark):
     # A repeats after its key was forgotten; C is late; B is neither.
     kept = rows(spark.read.schema(stream.schema).parquet(f"{path}/rows").select("listing_id", "job_code"))
     assert kept == [("A", "1"), ("A", "1"), ("A", "2"), ("B", "1"), ("D", None)] and late == 1
+
+
+def test_changes_need_no_setting_of_the_session(spark):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    given = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        path = work_dir(spark, "stream")
+        updates = inputs.updates(spark, SF).drop("first_run", "source_url")
+        updates.write.parquet(f"{path}/in")
+        stream = spark.readStream.schema(updates.schema).parquet(f"{path}/in")
+        finish(changes_writer(stream, f"{path}/state"), f"{path}/checkpoint")
+        assert rows(read_state(spark, f"{path}/state")) == rows(upsert(spark.createDataFrame([], STATE), updates))
+    finally:
+        spark.conf.set(provider, given)
