@@ -263,3 +263,14 @@ def test_hot_listing_is_split_in_lookups(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_updates_are_staged_in_as_many_files_as_tasks(spark, monkeypatch):
+    root, staged = work_dir(spark, "state"), []
+    written = state_table._written
+    monkeypatch.setattr(state_table, "_written", lambda *args: staged.extend(
+        glob.glob(f"{root}/data/updates-*/**/*.parquet", recursive=True)) or written(*args))
+    updates = spark.range(4000).repartition(5).selectExpr("concat('L', id) AS listing_id", "'t' AS last_seen_at", "string(NULL) AS updated_at",
+                                                          "string(NULL) AS detail_fingerprint")
+    commit_updates(updates, root)
+    assert 0 < len(staged) <= 5 and read_state(spark, root).count() == 4000
