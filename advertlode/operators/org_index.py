@@ -82,10 +82,10 @@ class _Phrases:
             if token in self.where:
                 shared[self.where[token]] += len(token) + 1
                 count[self.where[token]] += 1
-        common = np.zeros(len(self.length), np.int64)
+        common = np.zeros(len(self.length), self.counts.dtype if len(text) < 1 << 15 else np.int64)
         for letter, of_phrases in zip(self.letters, self.counts):
             if n := text.count(letter):
-                common += np.minimum(of_phrases, n)
+                common += np.minimum(of_phrases, n, dtype=common.dtype)
         bound = 200.0 * common / (len(text) + self.length)
         shared -= count > 0  # tokens joined by spaces
         some = count > 0
@@ -94,9 +94,10 @@ class _Phrases:
         bound[some & ((count == len(tokens)) | (count == self.tokens))] = 100.0
         bound[self.tokens == 0] = 0.0
         found = None
-        for i in np.argsort(-bound, kind="stable").tolist():
-            # A bound that is hardly above the score may be the same number, computed another way.
-            if bound[i] + 1e-9 < (least if found is None else found[0]):
+        # A bound that is hardly above the score may be the same number, computed another way.
+        able = np.flatnonzero(bound + 1e-9 >= least)
+        for i in able[np.argsort(-bound[able], kind="stable")].tolist():
+            if found is not None and bound[i] + 1e-9 < found[0]:
                 break
             score = indel_score(name, self.phrases[i])
             if score >= least and (found is None or score > found[0] or (score == found[0] and i < found[1])):
@@ -131,7 +132,9 @@ def best_phrases(names: DataFrame, phrases: DataFrame, *, threshold: float) -> D
         "name", F.explode(F.sequence(F.lit(0), F.lit(max(len(parts) - 1, 0)))).alias("part"))
     if not parts:
         return meets.select("name", F.lit("").alias("phrase"), F.lit(0.0).alias("score")).limit(0)
-    found = meets.mapInArrow(_scored(parts, 100.0 * threshold, MOST_PHRASES), "name string, score double, phrase string, at long")
+    # Names are few bytes and much work, so they are dealt over as many tasks as a shuffle has, whatever their size.
+    dealt = meets.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = dealt.mapInArrow(_scored(parts, 100.0 * threshold, MOST_PHRASES), "name string, score double, phrase string, at long")
     if len(parts) == 1:
         return found.select("name", "phrase", "score")
     return found.groupBy("name").agg(F.max_by(F.struct("phrase", "score"), F.struct("score", -F.col("at"))).alias("best")).select("name", "best.*")
