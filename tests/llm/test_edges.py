@@ -118,6 +118,22 @@ def test_separator_scan_of_texts_that_name_the_end(spark):
             separators.named(files, wrong).collect()
 
 
+def test_separator_scan_leaves_no_words_in_workers(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 50), i -> concat('ord', id, 'x', i))) AS text").repartition(2)
+    write = separators._flat(tokenizer_path(), separators.END, separators.BLOCK)
+
+    def words_after(batches):
+        import pyarrow as pa
+
+        for _ in write(batches):
+            pass
+        held = vars(pa)["_advertlode_memory"]["encoders"][tokenizer_path(), True]
+        yield pa.record_batch([pa.array([len(held._spaced) + len(held._leading) + len(held._tails) + len(held._flat)])], ["n"])
+
+    found = docs.selectExpr("doc_id", "xxhash64(text) AS tie", "text").mapInArrow(words_after, "n long").collect()
+    assert [r.n for r in found] == [0, 0]
+
+
 def test_fingerprints(odd):
     found = order_minhash.followed(odd).collect()
     assert sorted((r.doc_id for r in found), key=repr) == ids(odd)
